@@ -22,7 +22,7 @@ ABBREVIATIONS = {
 MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
 DAYS = "mon tue wed thu fri sat sun".split()
 
-_BLANK = r"[\s\x85   -​    　﻿]"
+_BLANK = r"[\s\h\v\x1c-\x1f\x85\x{200b}\x{feff}]"
 _ZONE = r" ?(Z|z|[A-Za-z]{2,4}|(?:UTC|GMT)?[+-]\d{2}:?\d{2}(?: ?\[[A-Za-z0-9_+\-/]+\])?|[+-]\d{2}|\[[A-Za-z0-9_+\-/]+\]|Z\[[A-Za-z0-9_+\-/]+\]|[A-Z][A-Za-z_]+/[A-Za-z0-9_+\-/]+)?"
 _CLOCK = r"(\d{2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?"
 _MONTH = r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]{0,6}\.?"
