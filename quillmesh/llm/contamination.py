@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quillmesh.operators.frequency import frequencies, join_frequencies
 from quillmesh.session import Workspace
 
-_SPACE = r"[\s\x85   -     　]+"
+_SPACE = r"[\s\h\v\x1c-\x1f\x85]+"
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
 #: Seeds of the items are broadcast up to this many rows (a long and an int each, about 100 MB as a hash table).
 BROADCAST_SEEDS = 1_000_000
