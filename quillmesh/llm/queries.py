@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmesh.llm import contamination, cooccurrence, mixing, tfidf
-from quillmesh.session import shared_folder
+from quillmesh.llm import clusters, contamination, cooccurrence, mixing, tfidf
+from quillmesh.session import Workspace, shared_folder
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +42,18 @@ def p1_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _above_chance(table).select("item_a", "item_b", "n_ab", "n_a", "n_b", "n")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The members of each group of at least five pages, but for the one that names the group."""
+    members, _ = clusters.cluster(read(spark, sf_dir, "dom_features"))
+    return members.where("size >= 5 and feature_id <> root").select(F.col("root").alias("root_id"), "feature_id")
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each group with its size and its three most typical pages."""
+    _, classes = clusters.cluster(read(spark, sf_dir, "dom_features"))
+    return clusters.typical(classes, Workspace(spark, "typical"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three tokens of each row with the highest unsmoothed score."""
     rows = tfidf.postings(read(spark, sf_dir, "dom_features"))
@@ -89,11 +101,17 @@ d as (select token, count(*) as df from p group by token)
 """
 
 QUERIES = {
-    "p1_found": p1_found, "p1_incremental": p1_incremental, "p7_found": p7_found, "p7_weights": p7_weights, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares,
+    "p1_found": p1_found, "p1_incremental": p1_incremental, "p5_found": p5_found, "p5_groups": p5_groups, "p7_found": p7_found, "p7_weights": p7_weights, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares,
 }
 ORACLES = {
     "p1_found": _P1 + "select item_a, item_b from q where n_ab * n >= 3 * n_a * n_b",
     "p1_incremental": _P1 + "select item_a, item_b, n_ab, n_a, n_b, n from q where n_ab * n >= 3 * n_a * n_b",
+    "p5_found": """
+with s as (select feature_id, list_filter(map_keys(tokens), lambda k: tokens[k] > 0) as ts from dom_features where tokens is not null and feature_id is not null),
+t as (select feature_id, len(ts) as n, unnest(ts) as tok from s where len(ts) > 0),
+l as (select a.feature_id as x, b.feature_id as y from t a join t b using (tok) group by a.feature_id, b.feature_id, a.n, b.n having 2 * count(*) >= a.n + b.n - count(*)),
+g as (select x as feature_id, min(y) as root_id, count(*) as size from l group by x)
+select root_id, feature_id from g where size >= 5 and root_id <> feature_id""",
     "p7_found": _P7 + """,
 s as (select feature_id, token, round(cnt * ln(n / df), 6) as score from p join d using (token), n where df >= 2 and df < n)
 select feature_id, token from (select *, row_number() over (partition by feature_id order by score desc, token) as r from s) where r <= 3""",
