@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmesh.llm import clusters, contamination, cooccurrence, mixing, tfidf
+from quillmesh.llm import boilerplate, clusters, contamination, cooccurrence, mixing, residue, tfidf
 from quillmesh.session import Workspace, shared_folder
 
 
@@ -42,6 +42,17 @@ def p1_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _above_chance(table).select("item_a", "item_b", "n_ab", "n_a", "n_b", "n")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct blocks of each page's main body."""
+    bodies = boilerplate.main_bodies(read(spark, sf_dir, "doms"))
+    keys = F.array_distinct(F.transform("blocks", lambda b: F.substring(F.md5(b.cast("binary")), 1, 16)))
+    return bodies.select("dom_id", F.explode(keys).alias("block_key"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue_pages(read(spark, sf_dir, "doms"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The members of each group of at least five pages, but for the one that names the group."""
     members, _ = clusters.cluster(read(spark, sf_dir, "dom_features"))
@@ -101,7 +112,7 @@ d as (select token, count(*) as df from p group by token)
 """
 
 QUERIES = {
-    "p1_found": p1_found, "p1_incremental": p1_incremental, "p5_found": p5_found, "p5_groups": p5_groups, "p7_found": p7_found, "p7_weights": p7_weights, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares,
+    "p1_found": p1_found, "p1_incremental": p1_incremental, "p2_found": p2_found, "p5_found": p5_found, "p5_groups": p5_groups, "p6_found": p6_found, "p7_found": p7_found, "p7_weights": p7_weights, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares,
 }
 ORACLES = {
     "p1_found": _P1 + "select item_a, item_b from q where n_ab * n >= 3 * n_a * n_b",
