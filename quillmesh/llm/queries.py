@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmesh.llm import boilerplate, clusters, contamination, cooccurrence, mixing, residue, tfidf
+from quillmesh.llm import boilerplate, clusters, contamination, cooccurrence, mixing, pii, residue, tfidf
 from quillmesh.session import Workspace, shared_folder
 
 
@@ -92,6 +92,17 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets"))[1]
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distinct personal data of each document."""
+    found = pii.find(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.kind", "s.found_text").distinct()
+
+
+def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with placeholders in place of personal data."""
+    return pii.find(read(spark, sf_dir, "documents")).select("doc_id", F.col("redacted").alias("text"), F.size("spans").alias("n_found"))
+
+
 _P1 = r"""
 with ranked as (
   select url, tags, entry_type, row_number() over (partition by url order by parsed_at desc nulls last, entry_id desc) as r
@@ -112,7 +123,7 @@ d as (select token, count(*) as df from p group by token)
 """
 
 QUERIES = {
-    "p1_found": p1_found, "p1_incremental": p1_incremental, "p2_found": p2_found, "p5_found": p5_found, "p5_groups": p5_groups, "p6_found": p6_found, "p7_found": p7_found, "p7_weights": p7_weights, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares,
+    "p1_found": p1_found, "p1_incremental": p1_incremental, "p2_found": p2_found, "p5_found": p5_found, "p5_groups": p5_groups, "p6_found": p6_found, "p7_found": p7_found, "p7_weights": p7_weights, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_redacted": p10_redacted,
 }
 ORACLES = {
     "p1_found": _P1 + "select item_a, item_b from q where n_ab * n >= 3 * n_a * n_b",

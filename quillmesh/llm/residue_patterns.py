@@ -31,8 +31,9 @@ PLACEHOLDER = re.compile(
     r"\{\{[^{}]*\}\}|\{%[^{}]*%\}|<%[^<>]*%>|\$!?\{[^{}]*\}|#\{[^{}]*\}|\{(?:\d+|[a-z_.]+)\}|%\(\w+\)[sd]|%\d+\$[sd]|%[A-Z][A-Z_]{2,}%|@@[A-Z_]+@@|__[A-Z][A-Z_]*__|\bXX_\w+_XX\b"
     r"|\[\[?[A-Z][A-Z ]*(?:TEXT|NAME|TITLE|HERE|DESCRIPTION)[A-Z ]*\]\]?|<(?:insert|your|enter)\b[^<>]*>|\bTODO: ?\w+(?: \w+)?"
 )
-#: A sentence with one of these speaks of a placeholder, or quotes it.
-MENTION = re.compile(r"\b(?:jokes?|joked|wrote|writes|prints?|printed|literally|reads|called|phrase|captioned|quot\w+|on purpose|true name|where a|named|says|spell\w*|joking|parod\w+|template)\b|[\"“”«»]", re.I)
+#: One of these among the four words before a placeholder, or after it, speaks of the placeholder or quotes it.
+MENTION_BEFORE = re.compile(r"\b(?:jok\w+|wrote|writes?|prints?|printed|literally|reads?|called|phrase|captioned|quot\w+|named|spell\w*|parod\w+|typed|text)\b|[\"\u201c\u201d\u00ab\u00bb]$", re.I)
+MENTION_AFTER = re.compile(r"^(?:(?:is|was|are|means|stands|became)\b|[\"\u201c\u201d\u00ab\u00bb]|\W*(?:on purpose|where a|as a joke|is the true))", re.I)
 
 _NOTICE = re.compile(rf"(?:{'|'.join(ERRORS + SCRIPTS)})", re.I)
 _FILLER = re.compile(rf"(?:{'|'.join(FILLER)})", re.I)
@@ -49,12 +50,21 @@ def is_latin(sentence: str) -> bool:
     return len(w) >= 4 and 2 * sum(x in LATIN for x in w) > len(w)
 
 
+def has_open_placeholder(sentence: str) -> bool:
+    """Whether a placeholder stands in the sentence as a gap, not as its subject matter."""
+    for m in PLACEHOLDER.finditer(sentence):
+        before, after = " ".join(sentence[: m.start()].split()[-4:]), sentence[m.end() :].strip()
+        if not MENTION_BEFORE.search(before) and not MENTION_AFTER.match(after):
+            return True
+    return False
+
+
 def trusted(sentence: str) -> str:
     """notice, filler or placeholder for a sentence that is trusted to be one, else ''."""
     if _NOTICE.match(sentence):
         return "notice"
     if _FILLER.match(sentence) or is_latin(sentence):
         return "filler"
-    if PLACEHOLDER.search(sentence) and not MENTION.search(PLACEHOLDER.sub(" ", sentence)):
+    if has_open_placeholder(sentence):
         return "placeholder"
     return ""
