@@ -21,7 +21,7 @@ def tag_item(tag: Column) -> Column:
 
 def type_item(entry_type: Column) -> Column:
     """`type:` and the last path segment that isn't empty, in lower case; null for a blank type."""
-    segments = F.filter(F.transform(F.split(F.lower(entry_type), "/"), F.trim), lambda s: s != "")
+    segments = F.filter(F.transform(F.split(F.lower(entry_type), "/"), lambda x: F.trim(x)), lambda s: s != "")
     last = F.element_at(segments, -1)
     return F.when(F.size(segments) > 0, F.concat(F.lit("type:"), last))
 
