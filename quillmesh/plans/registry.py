@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmesh.plans import problems
+from quillmesh.plans import columns, problems
 
-_MODULES = (problems,)
+_MODULES = (problems, columns)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
