@@ -106,28 +106,37 @@ def train(documents: DataFrame, lex: Lexicon, training_documents: int = TRAINING
     return models
 
 
-def select(text: str, lex: Lexicon, models: dict[str, BoostedTrees | bool | None]) -> list[tuple[str, int, int]]:
-    """(kind, start, end) of the spans to redact, in their order: of overlapping ones the most probable, then the longest."""
-    spans = list(candidates(text, lex))
-    if not spans:
-        return []
-    scored = []
-    for kind in {s[0] for s in spans}:
-        own = [s for s in spans if s[0] == kind]
-        model = models.get(kind)
+def select(texts: list[str], lex: Lexicon, models: dict[str, BoostedTrees | bool | None]) -> list[list[tuple[str, int, int]]]:
+    """(kind, start, end) of the spans to redact in each text, in their order: of overlapping ones the most probable, then the longest.
+    The spans of all texts are scored together, kind by kind."""
+    by_kind: dict[str, list[tuple[int, int, int]]] = {k: [] for k in KINDS}
+    features: dict[str, list[list[float]]] = {k: [] for k in KINDS}
+    for n, text in enumerate(texts):
+        for kind, s, e, x in candidates(text, lex):
+            by_kind[kind].append((n, s, e))
+            features[kind].append(x)
+    chosen: list[list[tuple[float, int, int, str]]] = [[] for _ in texts]
+    for kind, spans in by_kind.items():
+        if not spans:
+            continue
+        model, x = models.get(kind), np.array(features[kind])
         if model is None:
-            cue = NAME_CUE if kind == "person_name" else 0
-            scored += [(1.0, s) for s in own if s[3][cue]]
+            p, least = x[:, NAME_CUE if kind == "person_name" else 0], 0.5
         elif isinstance(model, bool):
-            scored += [(1.0, s) for s in own if model]
+            p, least = np.full(len(x), float(model)), 0.5
         else:
-            p = model.probability(np.array([s[3] for s in own]))
-            scored += [(v, s) for v, s in zip(p, own, strict=True) if v >= model.threshold]
-    out: list[tuple[str, int, int]] = []
-    for _, (kind, s, e, _) in sorted(scored, key=lambda v: (-round(v[0], 2), v[1][1] - v[1][2], v[1][1], v[1][0])):
-        if all(e <= a or s >= b for _, a, b in out):
-            out.append((kind, s, e))
-    return sorted(out, key=lambda x: x[1])
+            p, least = model.probability(x), model.threshold
+        for i in np.flatnonzero(p >= least):
+            n, s, e = spans[i]
+            chosen[n].append((round(float(p[i]), 2), s, e, kind))
+    out: list[list[tuple[str, int, int]]] = []
+    for own in chosen:
+        taken: list[tuple[str, int, int]] = []
+        for _, s, e, kind in sorted(own, key=lambda v: (-v[0], v[1] - v[2], v[1], v[3])):
+            if all(e <= a or s >= b for _, a, b in taken):
+                taken.append((kind, s, e))
+        out.append(sorted(taken, key=lambda x: x[1]))
+    return out
 
 
 def find(documents: DataFrame, key: str = "doc_id", training_documents: int = TRAINING_DOCUMENTS) -> DataFrame:
@@ -146,12 +155,12 @@ def find(documents: DataFrame, key: str = "doc_id", training_documents: int = TR
         lex, models = shared.value
         for batch in batches:
             spans, redacted = [], []
-            for text in batch["text"]:
+            texts = batch["text"].tolist()
+            for text, own in zip(texts, select([t or "" for t in texts], lex, models), strict=True):
                 if text is None:
                     spans.append([])
                     redacted.append(None)
                     continue
-                own = select(text, lex, models)
                 parts, at = [], 0
                 for kind, s, e in own:
                     parts += [text[at:s], PLACEHOLDERS[kind]]
