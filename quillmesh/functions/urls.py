@@ -8,6 +8,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quillmesh.site import DEFAULT_SITE, SiteProfile
 
@@ -85,7 +86,7 @@ def absolute(href: Column, site: SiteProfile = DEFAULT_SITE) -> Column:
     return F.when(href.startswith("//"), F.concat(F.lit("https:"), plain)).when(href.startswith("/"), F.concat(F.lit(site.base_url), plain)).when(href != "", href)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def joined(base: pd.Series, href: pd.Series) -> pd.Series:
     """Any link resolved against any base, by RFC 3986. Null where either is null or the link is no URL."""
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmesh.plans import columns, problems
+from quillmesh.plans import columns, problems, state
 
-_MODULES = (problems, columns)
+_MODULES = (problems, columns, state)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
