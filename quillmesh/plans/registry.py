@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmesh.plans import columns, problems, state
+from quillmesh.plans import columns, pages, problems, state
 
-_MODULES = (problems, columns, state)
+_MODULES = (problems, columns, state, pages)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
