@@ -142,7 +142,7 @@ class VersionedTable:
         if not fs.exists(root):
             return 0
         names = [x.getPath().getName() for x in fs.listStatus(root)]
-        return max((int(n[2:]) for n in names if n.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))), default=0)
+        return max((int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))), default=0)
 
     def read(self) -> DataFrame:
         v = self.version()
@@ -155,10 +155,13 @@ class VersionedTable:
         df.write.mode("overwrite").parquet(f"{self.path}/v={v}")
         return v
 
+    def write_empty_if_new(self, like: DataFrame) -> None:
+        if not self.version():
+            self.write(self.spark.createDataFrame([], like.schema))
+
     def merge(self, batch: DataFrame, key: str, rules: dict[str, Rule], insert: bool = True) -> dict[str, int]:
         """Writes the merged table and returns how many keys were added and updated."""
-        if not self.version():
-            self.write(batch.limit(0))
+        self.write_empty_if_new(batch)
         v = self.write_outcome(keyed_merge(self.read(), batch, key, rules, insert))
         counts = {r[0]: r[1] for r in self.spark.read.parquet(f"{self.path}/v={v}.outcome").collect()}  # three rows
         return {"added": counts.get("added", 0), "updated": counts.get("updated", 0)}

@@ -79,12 +79,17 @@ def with_namespace(rows: DataFrame, urls: DataFrame, fallback: Column, key: str
     return rows.join(names, key, "left").withColumn("namespace", F.coalesce(F.nullif(F.col("__ns"), F.lit("")), fallback)).drop("__ns")
 
 
-def chunks(rows: DataFrame, size: int, order: list[str], parts: int = 64) -> DataFrame:
-    """rows with chunk (from 0), so many rows in each, in the given order. Numbered by the rows of ranges and the ranges' sizes, so the
-    table isn't gathered in one task."""
+def numbered(rows: DataFrame, order: list[str], name: str, parts: int = 64) -> DataFrame:
+    """rows with their number (from 0) in the given order: the place within a range plus the sizes of the ranges before it, so the table
+    isn't gathered in one task."""
     ranged = rows.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id())
     sizes = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     # parts rows at most
     before = sizes.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     at = F.row_number().over(Window.partitionBy("__p").orderBy(*order))
-    return ranged.withColumn("__at", at).join(F.broadcast(before), "__p").withColumn("chunk", F.floor((F.col("__before") + F.col("__at") - 1) / size)).drop("__p", "__at", "__before")
+    return ranged.withColumn("__at", at).join(F.broadcast(before), "__p").withColumn(name, F.col("__before") + F.col("__at") - 1).drop("__p", "__at", "__before")
+
+
+def chunks(rows: DataFrame, size: int, order: list[str], parts: int = 64) -> DataFrame:
+    """rows with chunk (from 0), so many rows in each, in the given order."""
+    return numbered(rows, order, "__row", parts).withColumn("chunk", F.floor(F.col("__row") / size)).drop("__row")
