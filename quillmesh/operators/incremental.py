@@ -52,7 +52,7 @@ class Ledger:
         fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(folder):
             return []
-        rows = self.spark.read.text(f"{self.path}/commits").collect()  # one row for each run
+        rows = self.spark.read.option("recursiveFileLookup", "true").text(f"{self.path}/commits").collect()  # one row for each run
         return sorted((json.loads(r[0]) for r in rows), key=lambda c: c["at"])
 
     def horizon(self) -> datetime | None:
