@@ -32,9 +32,8 @@ def main_bodies(doms: DataFrame, key: str = "dom_id", html: str = "html") -> Dat
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bodies = [main_body(h) for h in batch["html"]]
-            keep = [bool(b) for b in bodies]
-            yield pd.DataFrame({key: batch[key][keep], "blocks": [b for b in bodies if b]})
+            bodies = pd.Series([main_body(h) for h in batch["html"]], dtype=object, index=batch.index)
+            yield pd.DataFrame({key: batch[key], "blocks": bodies})[bodies.map(bool).astype(bool)]
 
     pages = doms.where(F.col(f"`{html}`").isNotNull()).select(key, F.col(f"`{html}`").alias("html"))
     return pages.mapInPandas(parse, f"{key} {doms.schema[key].dataType.simpleString()}, blocks array<string>")
