@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quillmesh.functions import dom
 from quillmesh.functions import text as T
 from quillmesh.functions.urls import category, host, is_entry_url
+from quillmesh.session import spread
 from quillmesh.site import DEFAULT_SITE, STATUSES, SiteProfile
 
 _LINK = "array<struct<text:string,url:string>>"
@@ -47,7 +48,7 @@ def parse_pages(pages: DataFrame, site: SiteProfile = DEFAULT_SITE) -> DataFrame
                 rows.append((url, sha, *(record[k] for k in _NAMES), str(error) if error else None, type(error).__name__ if error else None))
             yield pd.DataFrame(rows, columns=["source_url", "content_sha256", *_NAMES, "error", "error_type"])
 
-    return pages.select("url", "html", "content_sha256").mapInPandas(run, f"source_url string, content_sha256 string, {RAW}, error string, error_type string")
+    return spread(pages.select("url", "html", "content_sha256")).mapInPandas(run, f"source_url string, content_sha256 string, {RAW}, error string, error_type string")
 
 
 def normalise(parsed: DataFrame, site: SiteProfile = DEFAULT_SITE) -> DataFrame:
@@ -108,7 +109,7 @@ def page_links(pages: DataFrame, key: str = "dom_id") -> DataFrame:
             rows = [(k, i, x) for k, u, h in zip(b[key], b["url"], b["html"], strict=True) if h for i, x in enumerate(dom.links(h, u or ""))]
             yield pd.DataFrame(rows, columns=[key, "pos", "link"])
 
-    found = pages.select(key, "url", "html").mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, pos int, link string")
+    found = spread(pages.select(key, "url", "html")).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, pos int, link string")
     return found.withColumn("is_entry", is_entry_url(F.col("link")))
 
 
@@ -120,7 +121,7 @@ def page_meta(pages: DataFrame, key: str = "dom_id") -> DataFrame:
             rows = [(k, n, c) for k, h in zip(b[key], b["html"], strict=True) if h for n, c in dom.meta(dom.parse(h)).items()]
             yield pd.DataFrame(rows, columns=[key, "name", "content"])
 
-    return pages.select(key, "html").mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, name string, content string")
+    return spread(pages.select(key, "html")).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, name string, content string")
 
 
 def structure_tokens(pages: DataFrame, key: str = "dom_id", most_nodes: int = 30_000, most_depth: int = 60, most_classes: int = 3) -> DataFrame:
@@ -140,4 +141,4 @@ def structure_tokens(pages: DataFrame, key: str = "dom_id", most_nodes: int = 30
             out = pd.DataFrame(rows, columns=[key, "tokens", "n_tokens", "n_unique_tokens", "n_nodes", "max_depth", "error"])
             yield out.astype({c: "Int32" for c in ("n_tokens", "n_unique_tokens", "n_nodes", "max_depth")})
 
-    return pages.select(key, "html").mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, tokens map<string,int>, n_tokens int, n_unique_tokens int, n_nodes int, max_depth int, error string")
+    return spread(pages.select(key, "html")).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, tokens map<string,int>, n_tokens int, n_unique_tokens int, n_nodes int, max_depth int, error string")

@@ -40,6 +40,13 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores if a small input, as one file of one row group, would leave more than half of them idle. Worth a shuffle only ahead of
+    work that takes much longer for each row than moving it; larger inputs come in more parts than that and stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if 2 * df.rdd.getNumPartitions() > cores else df.repartition(cores)
+
+
 class Workspace:
     """Written tables of one run in the shared folder. A table survives the loss of executors, and a later stage starts from it
     instead of from the whole lineage; drop() removes one that a newer table has replaced."""
