@@ -93,18 +93,22 @@ def spread(units: DataFrame, work: Workspace) -> DataFrame:
     signed = work.write(units.select("uid", "text", "labelled").mapInPandas(sign, "uid bigint, text string, labelled boolean, sim bigint"), "signed")
     width = BITS // BANDS
     bands = F.array(*(F.concat(F.lit(f"{k}:"), F.shiftrightunsigned(F.col("sim"), k * width).bitwiseAND(F.lit((1 << width) - 1)).cast("string")) for k in range(BANDS)))
-    rest = signed.where("not labelled").select("uid", "text", "sim", F.explode(bands).alias("band"))
-    frontier, found, n = signed.where("labelled"), [], 0
+    # Texts stay behind until the few pairs are found that share a band and nearly all bits.
+    rest = signed.where("not labelled").select("uid", "sim", F.explode(bands).alias("band"))
+    texts = signed.select("uid", "text")
+    frontier, found, n = signed.where("labelled").select("uid", "sim"), [], 0
     while True:
-        seek = frontier.select(F.explode(bands).alias("band"), F.col("text").alias("from_text"), F.col("sim").alias("from_sim"))
-        near = rest.join(seek, "band").where(F.bit_count(F.col("sim").bitwiseXOR(F.col("from_sim"))) <= MOST_BITS)
-        a, b = _shingles(F.col("text")), _shingles(F.col("from_text"))
-        shared = F.size(F.array_intersect(a, b))
-        near = near.where(shared >= F.lit(LEAST_SIMILARITY) * (F.size(a) + F.size(b) - shared)).select("uid", "text", "sim").distinct()
+        seek = frontier.select(F.col("uid").alias("from_uid"), F.col("sim").alias("from_sim"), F.explode(bands).alias("band"))
+        near = rest.join(seek, "band").where(F.bit_count(F.col("sim").bitwiseXOR(F.col("from_sim"))) <= MOST_BITS).select("uid", "sim", "from_uid").distinct()
         for f in found:
             near = near.join(f.select("uid"), "uid", "left_anti")
         n += 1
-        frontier = work.write(near, f"near{n}")
+        near = work.write(near, f"pairs{n}")
+        both = near.join(texts, "uid").join(texts.select(F.col("uid").alias("from_uid"), F.col("text").alias("from_text")), "from_uid")
+        a, b = _shingles(F.col("text")), _shingles(F.col("from_text"))
+        shared = F.size(F.array_intersect(a, b))
+        alike = both.where(shared >= F.lit(LEAST_SIMILARITY) * (F.size(a) + F.size(b) - shared)).select("uid", "sim").distinct()
+        frontier = work.write(alike, f"near{n}")
         if not frontier.head(1):
             break
         found.append(frontier)
