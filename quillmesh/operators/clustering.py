@@ -372,6 +372,16 @@ def sweep(tokens: DataFrame, key: str, configs: list[Config]) -> DataFrame:
     return tokens.sparkSession.createDataFrame(pd.DataFrame([r | {"place": i} for i, r in enumerate(rows)]).astype({"silhouette": "float64", "davies_bouldin": "float64"}))
 
 
+def assign(points: DataFrame, key: str, centres: DataFrame, most: float | None = None) -> DataFrame:
+    """key, label, distance of new points to the nearest of the kept centres (label, centroid); NOISE beyond the distance `most`. There is a centre
+    for each cluster, so their table is small beside the points."""
+    all_ = centres.agg(F.collect_list(F.struct("label", "centroid")).alias("c"))  # one row
+    j = points.select(key, F.col("vector").cast("array<double>").alias("vector")).join(F.broadcast(all_), F.lit(True))
+    best = F.array_min(F.transform("c", lambda x: F.struct(_to(F.col("vector"), x["centroid"]).alias("d"), x["label"].alias("label"))))
+    j = j.select(key, best.alias("b")).select(key, F.col("b.label").alias("label"), F.col("b.d").alias("distance"))
+    return j if most is None else j.withColumn("label", F.when(F.col("distance") <= most, F.col("label")).otherwise(NOISE))
+
+
 def template_names(labels: DataFrame) -> DataFrame:
     """labels with page_template_type: `unknown` for noise, else the cluster's number."""
     return labels.withColumn("page_template_type", F.when(F.col("label") == NOISE, "unknown").otherwise(F.concat(F.lit("dom_c"), F.col("label").cast("string"))))

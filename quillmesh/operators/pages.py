@@ -92,6 +92,12 @@ def section_text(kind: str) -> Column:
     return F.coalesce(F.get(F.filter("sections", lambda s: s["kind"] == kind), F.lit(0))["text"], F.array().cast("array<string>"))
 
 
+def with_parent(entries: DataFrame, *fields: str) -> DataFrame:
+    """entries with parent_<field> of the entry that series_parent names, null where there is none. Of several rows of a URL the greatest counts."""
+    parents = entries.where("url is not null").groupBy(F.col("url").alias("__p")).agg(F.max(F.struct(*fields)).alias("__f"))
+    return entries.join(parents, F.col("series_parent") == F.col("__p"), "left").select(*(F.col(f"`{c}`") for c in entries.columns), *(F.col(f"__f.{f}").alias(f"parent_{f}") for f in fields))
+
+
 def entries_and_failures(parsed: DataFrame, parser_version: str, policy: Policy = Policy(), site: SiteProfile = DEFAULT_SITE) -> tuple[DataFrame, DataFrame]:
     """(entries, failures) of parsed pages: graded records that validate, and a dead letter for each of the others."""
     n = normalise(parsed, site).withColumn("__why", invalid(site))

@@ -129,3 +129,11 @@ def test_stream_dedup_and_sessions(spark, tmp_path):
         df.writeStream.format("parquet").option("path", str(tmp_path / name)).option("checkpointLocation", str(tmp_path / f"{name}c")).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(str(tmp_path / "d")).count() == 3
     assert {(r.k, r.n) for r in spark.read.parquet(str(tmp_path / "s")).collect()} == {("a", 2), ("b", 1)}
+
+
+def test_assign_new_points(spark):
+    p = blobs(spark, [10, 10])
+    c = clustering.centroids(p)
+    far = spark.createDataFrame([(99, [500.0, 500.0, 0.0, 0.0], 0)], p.schema)
+    got = {r.id: r.label for r in clustering.assign(p.unionByName(far), "id", c, 5.0).collect()}
+    assert all(got[r.id] == r.label for r in p.collect()) and got[99] == clustering.NOISE

@@ -151,3 +151,8 @@ def test_reports(spark):
     assert [(r.name, r.v) for r in top_with_rest(t, ["g"], "name", "v", 3).orderBy("rank").collect()] == [("n04", 4), ("n03", 3), ("n02", 2), ("(+2 more)", 1)]
     one = spark.createDataFrame([("a", "2026-01-01", 1.0)], "path string, at string, value double")
     assert trend_series(one).count() == 0
+
+
+def test_parent_of_a_series(spark):
+    e = spark.createDataFrame([("a", None, "A"), ("b", "a", "B"), ("c", "gone", "C"), (None, None, None)], "url string, series_parent string, title string")
+    assert {r.title: r.parent_title for r in pages.with_parent(e, "title").collect()} == {"A": None, "B": "A", "C": None, None: None}
