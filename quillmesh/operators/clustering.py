@@ -256,15 +256,18 @@ def _to(a: Column, b: Column) -> Column:
 
 
 def davies_bouldin(points: DataFrame) -> DataFrame:
-    """One row, davies_bouldin: the mean over clusters of the worst ratio of spread to separation; null for fewer than two clusters."""
-    work = Workspace(points.sparkSession, "davies")
-    c = work.write(centroids(points), "centroids")
+    """One row, davies_bouldin: the mean over clusters of the worst ratio of spread to separation; null for fewer than two clusters. The clusters'
+    centroids and spreads, a row for each, come to the driver; the points don't."""
+    c = Workspace(points.sparkSession, "davies").write(centroids(points), "centroids")
     spread = points.select("label", F.col("vector").cast("array<double>").alias("vector")).join(c, "label").groupBy("label").agg(F.avg(_to(F.col("vector"), F.col("centroid"))).alias("s"))
-    s = work.write(spread.join(c.select("label", "centroid"), "label"), "spread")
-    a, b = s.select(F.col("label").alias("i"), F.col("s").alias("si"), F.col("centroid").alias("ci")), s.select(F.col("label").alias("j"), F.col("s").alias("sj"), F.col("centroid").alias("cj"))
-    # Over pairs of clusters, not of points.
-    worst = a.join(b, F.col("i") != F.col("j")).groupBy("i").agg(F.max((F.col("si") + F.col("sj")) / _to(F.col("ci"), F.col("cj"))).alias("r"))
-    return worst.agg(F.avg("r").alias("davies_bouldin"))
+    rows = spread.join(c.select("label", "centroid"), "label").collect()
+    if len(rows) < 2:
+        return points.sparkSession.createDataFrame([(None,)], "davies_bouldin double")
+    s, m = np.array([r["s"] for r in rows]), np.array([r["centroid"] for r in rows])
+    apart = np.sqrt(((m[:, None] - m[None]) ** 2).sum(-1))
+    np.fill_diagonal(apart, np.inf)
+    worst = ((s[:, None] + s[None]) / apart).max(axis=1)
+    return points.sparkSession.createDataFrame([(float(worst.mean()),)], "davies_bouldin double")
 
 
 def stratified(points: DataFrame, key: str, sample: int = 4000, floor: int = 50, order: Column | None = None) -> DataFrame:
@@ -373,12 +376,12 @@ def sweep(tokens: DataFrame, key: str, configs: list[Config]) -> DataFrame:
 
 
 def assign(points: DataFrame, key: str, centres: DataFrame, most: float | None = None) -> DataFrame:
-    """key, label, distance of new points to the nearest of the kept centres (label, centroid); NOISE beyond the distance `most`. There is a centre
-    for each cluster, so their table is small beside the points."""
-    all_ = centres.agg(F.collect_list(F.struct("label", "centroid")).alias("c"))  # one row
-    j = points.select(key, F.col("vector").cast("array<double>").alias("vector")).join(F.broadcast(all_), F.lit(True))
-    best = F.array_min(F.transform("c", lambda x: F.struct(_to(F.col("vector"), x["centroid"]).alias("d"), x["label"].alias("label"))))
-    j = j.select(key, best.alias("b")).select(key, F.col("b.label").alias("label"), F.col("b.d").alias("distance"))
+    """key, label, distance of new points to the nearest of the kept centres (label, centroid); NOISE beyond the distance `most`. The centres, one
+    for each cluster, come to the driver and become part of the expression."""
+    kept = [(r["label"], [float(x) for x in r["centroid"]]) for r in centres.orderBy("label").collect()]
+    vector = F.col("vector").cast("array<double>")
+    each = [F.struct(_to(vector, F.array(*map(F.lit, c))).alias("d"), F.lit(n).alias("label")) for n, c in kept]
+    j = points.select(key, F.array_min(F.array(*each)).alias("b")).select(key, F.col("b.label").alias("label"), F.col("b.d").alias("distance"))
     return j if most is None else j.withColumn("label", F.when(F.col("distance") <= most, F.col("label")).otherwise(NOISE))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmesh.session import Workspace
+
 NEVER, RETRY, STALE = 0, 1, 2
 
 
@@ -81,8 +83,8 @@ def with_namespace(rows: DataFrame, urls: DataFrame, fallback: Column, key: str
 
 def numbered(rows: DataFrame, order: list[str], name: str, parts: int = 64) -> DataFrame:
     """rows with their number (from 0) in the given order: the place within a range plus the sizes of the ranges before it, so the table
-    isn't gathered in one task."""
-    ranged = rows.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id())
+    isn't gathered in one task. The ranged rows are written first: ranges come from a sample and could fall otherwise when computed again."""
+    ranged = Workspace(rows.sparkSession, "numbered").write(rows.repartitionByRange(parts, *order).withColumn("__p", F.spark_partition_id()), "ranged")
     sizes = ranged.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     # parts rows at most
     before = sizes.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
