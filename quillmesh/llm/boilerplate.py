@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm.pages import Page
 from quillmesh.llm.residue_patterns import sentences, trusted
+from quillmesh.session import spread
 
 
 def main_body(html: str | None) -> list[str]:
@@ -36,4 +37,4 @@ def main_bodies(doms: DataFrame, key: str = "dom_id", html: str = "html") -> Dat
             yield pd.DataFrame({key: batch[key], "blocks": bodies})[bodies.map(bool).astype(bool)]
 
     pages = doms.where(F.col(f"`{html}`").isNotNull()).select(key, F.col(f"`{html}`").alias("html"))
-    return pages.mapInPandas(parse, f"{key} {doms.schema[key].dataType.simpleString()}, blocks array<string>")
+    return spread(pages).mapInPandas(parse, f"{key} {doms.schema[key].dataType.simpleString()}, blocks array<string>")

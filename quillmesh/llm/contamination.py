@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.operators.frequency import frequencies, join_frequencies
-from quillmesh.session import Workspace
+from quillmesh.session import Workspace, spread
 
 _SPACE = r"[\s\h\v\x1c-\x1f\x85]+"
 _BASE, _MOD = 1_000_003, (1 << 61) - 1
@@ -109,7 +109,7 @@ def leaks(documents: DataFrame, items: DataFrame, least_words: int = 8, least_sh
     asked = work.write(items.where("item_id is not null").select("item_id", words(F.col("passage")).alias("words")).where(F.size("words") >= least_words), "items")
     asked = asked.withColumn("item_row", F.xxhash64("item_id", "words"))
     seeds = work.write(windows(asked.select("item_row", "words").distinct(), "item_row", least_words).withColumnRenamed("at", "item_at"), "seeds")
-    texts = documents.where("doc_id is not null").select("doc_id", words(F.col("text")).alias("words"))
+    texts = spread(documents.where("doc_id is not null").select("doc_id", "text")).select("doc_id", words(F.col("text")).alias("words"))
     own = windows(texts, "doc_id", least_words).select("doc_id", "seed")
     n_seeds = seeds.count()
     if n_seeds <= BROADCAST_SEEDS:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quillmesh.llm.boosting import BoostedTrees
 from quillmesh.llm.pii_candidates import CUES, DECOYS, KINDS, NAME_CUE, Lexicon, candidates, name_pairs, words_of
-from quillmesh.session import Workspace
+from quillmesh.session import Workspace, spread
 
 #: Documents in the training sample, chosen by a hash of their text.
 TRAINING_DOCUMENTS = 8_000
@@ -51,7 +51,7 @@ def lexicon(texts: DataFrame) -> Lexicon:
             rows = [(a, b, n, hits[(a, b)]) for (a, b), n in seen.items()]
             yield pd.DataFrame(rows, columns=["what", "word", "n", "hits"])
 
-    total = texts.select("text").mapInPandas(count, "what string, word string, n bigint, hits bigint").groupBy("what", "word").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+    total = spread(texts.select("text")).mapInPandas(count, "what string, word string, n bigint, hits bigint").groupBy("what", "word").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
     total = Workspace(texts.sparkSession, "lexicon").write(total, "words")
     sizes = total.groupBy("what").agg(F.sum("n").alias("all"))  # three rows
     total = total.join(F.broadcast(sizes), "what").where((F.col("n") >= F.greatest(F.lit(2), F.col("all") * LEXICON_SHARE)) & (F.col("hits") > 0))
@@ -89,7 +89,7 @@ def train(documents: DataFrame, lex: Lexicon, training_documents: int = TRAINING
                         out.append((kind, y, x))
             yield pd.DataFrame(out, columns=["kind", "y", "x"])
 
-    table = chosen.select("text").mapInPandas(rows, "kind string, y int, x array<double>").toPandas()
+    table = spread(chosen.select("text")).mapInPandas(rows, "kind string, y int, x array<double>").toPandas()
     models: dict[str, BoostedTrees | bool | None] = {}
     for kind in KINDS:
         own = table[table["kind"] == kind].reset_index(drop=True)
@@ -170,4 +170,4 @@ def find(documents: DataFrame, key: str = "doc_id", training_documents: int = TR
             yield pd.DataFrame({key: batch[key], "text": batch["text"], "spans": spans, "redacted": redacted})
 
     kind = documents.schema[key].dataType.simpleString()
-    return texts.mapInPandas(apply, f"{key} {kind}, text string, spans array<struct<kind:string,start:int,found_text:string>>, redacted string")
+    return spread(texts).mapInPandas(apply, f"{key} {kind}, text string, spans array<struct<kind:string,start:int,found_text:string>>, redacted string")

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmesh import session
 from quillmesh.llm.pages import Page
 from quillmesh.llm.residue_patterns import sentences, trusted
 from quillmesh.operators.frequency import join_frequencies
@@ -133,7 +134,7 @@ def residue_pages(doms: DataFrame, key: str = "dom_id", html: str = "html") -> D
             yield pd.DataFrame(rows, columns=[key, "text", "sure"])
 
     pages = doms.where(f"`{html}` is not null and `{key}` is not null").select(key, F.col(f"`{html}`").alias("html"))
-    rows = pages.mapInPandas(parse, f"{key} {doms.schema[key].dataType.simpleString()}, text string, sure boolean")
+    rows = session.spread(pages).mapInPandas(parse, f"{key} {doms.schema[key].dataType.simpleString()}, text string, sure boolean")
     rows = work.write(rows.withColumn("uid", F.xxhash64("text")), "rows")
     units = rows.groupBy("uid").agg(F.first("text").alias("text"), F.max("sure").alias("labelled"), F.count(F.lit(1)).alias("n"))
     units = work.write(units, "units")
