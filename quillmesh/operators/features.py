@@ -29,6 +29,7 @@ def tfidf(rows: DataFrame, key: str, min_df: int = 2, binary: bool = True) -> Da
     """key, token, df, weight: presence (or 1 + ln count) times ln((1 + N) / (1 + df)) + 1, each record scaled to length 1. Tokens of fewer than
     min_df records are left out; N counts all records. It is an error if no token survives."""
     work = Workspace(rows.sparkSession, "features")
+    rows = work.write(rows.select(key, "token", "count"), "rows")
     freq = work.write(document_frequency(rows, min_df), "df")
     if not freq.head(1):
         raise ValueError(f"no tokens survive min_df={min_df}")
