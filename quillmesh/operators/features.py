@@ -11,8 +11,9 @@ from quillmesh.session import Workspace
 
 
 def token_counts(df: DataFrame, key: str, tokens: str = "tokens") -> DataFrame:
-    """key, token, count from a column of maps; counts below 1 and null keys are left out."""
-    return df.where(f"`{key}` is not null").select(key, F.explode(tokens).alias("token", "count")).where("count > 0")
+    """key, token, count from a column of maps; counts below 1 and null keys are left out, rows that repeat a key add up."""
+    rows = df.where(f"`{key}` is not null").select(key, F.explode(tokens).alias("token", "count")).where("count > 0")
+    return rows.groupBy(key, "token").agg(F.sum("count").alias("count"))
 
 
 def word_counts(df: DataFrame, key: str, text: str) -> DataFrame:
