@@ -57,8 +57,8 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     work = Workspace(spark, "mix")
     wanted = targets.select(normal_source(F.col("source")).alias("source"), "target_share", "max_repeats").where("source is not null and target_share > 0")
     wanted = wanted.groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max(F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(0))).alias("max_repeats"))
-    sized = documents.select("doc_id", normal_source(F.col("source")).alias("source"), "text").join(F.broadcast(wanted.select("source")), "source", "left_semi")
-    sized = work.write(spread(sized).select("doc_id", "source", token_counts(F.col("text"), tokenizer).alias("n_tokens")).where("n_tokens > 0"), "sized")
+    sized = spread(documents.select("doc_id", normal_source(F.col("source")).alias("source"), "text")).join(F.broadcast(wanted.select("source")), "source", "left_semi")
+    sized = work.write(sized.select("doc_id", "source", token_counts(F.col("text"), tokenizer).alias("n_tokens")).where("n_tokens > 0"), "sized")
 
     # One row for each target, as the caller's table of targets has it.
     rows = wanted.join(sized.groupBy("source").agg(F.sum("n_tokens").alias("size")), "source", "left").collect()
