@@ -103,7 +103,9 @@ def add_utc_micros(df: DataFrame, out: str, text: Column, default_zone: Column,
         F.when(zone.rlike(r"[+-]\d{2}"), F.when(hours.between(0, 18) & F.coalesce(minutes, F.lit(0)).between(0, 59), signed)).otherwise(named).alias(own + "off"),
         F.when(region.isin(zones), region).alias(own + "region"),
     )
-    day = F.when(col("wd").isNull() | (F.weekday(col("day")) == col("wd") - 1), col("day"))
+    # Days since 1970-01-01, a Thursday; the weekday functions would look at the session's zone.
+    weekday = F.pmod(F.floor(F.unix_seconds(col("day")) / 86_400) + 3, F.lit(7))
+    day = F.when(col("wd").isNull() | (weekday == col("wd") - 1), col("day"))
     # The zone rules of the JVM take the earlier offset of a repeated hour and the offset before the change in a skipped one.
     seconds = F.when(col("off").isNotNull(), F.unix_seconds(day) - col("off").cast("bigint") * 60).otherwise(F.unix_seconds(F.to_utc_timestamp(day, col("region"))))
     result = F.when(col("t").rlike(_NUMBER), _from_number(col("t"))).otherwise(seconds * 1_000_000 + col("f"))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.functions.timestamps import CANONICAL, add_utc_micros, known_zones
-from quillmesh.operators.incremental import good_fetches, pending_stages
+from quillmesh.operators.incremental import Ledger, good_fetches, pending_stages
+from quillmesh.session import shared_folder
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -40,5 +44,19 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending_stages(urls, fetches, read(spark, sf_dir, "entries"), read(spark, sf_dir, "run_summaries"))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found}
-ORACLES: dict[str, str] = {}
+def p3_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over the good fetches, each page version processed once: the first sees what was received before the middle and commits while a
+    transaction of the month before is open; the second rereads from there on."""
+    cut = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    fetches = good_fetches(read(spark, sf_dir, "doms"))
+    ledger = Ledger(spark, f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex[:12]}", "url string, version string")
+    first = ledger.pending(fetches.where(F.col("received_at") < F.lit(cut)), F.col("received_at"), ["url"], "version").select("url", "version").distinct()
+    ledger.commit("first", first, cut, cut - timedelta(days=30))
+    second = ledger.pending(fetches, F.col("received_at"), ["url"], "version").select("url", "version").distinct()
+    return ledger.processed().withColumn("run", F.lit("first")).unionByName(second.withColumn("run", F.lit("second")))
+
+
+QUERIES = {"p3_found": p3_found, "p3_runs": p3_runs, "p4_found": p4_found}
+ORACLES = {
+    "p3_runs": "select url, lower(coalesce(content_sha256, sha256(html))) as version, case when coalesce(min(received_at) < timestamptz '2026-01-01 00:00:00+00', false) then 'first' else 'second' end as run from doms where scrape_status = 'ok' and html is not null and url is not null group by 1, 2",
+}

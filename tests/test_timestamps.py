@@ -62,6 +62,14 @@ def test_each_format_and_policy(spark):
     assert parse(spark, [c[:2] for c in CASES]) == [c[2] for c in CASES]
 
 
+def test_the_session_zone_does_not_matter(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Auckland")
+    try:
+        assert parse(spark, [c[:2] for c in CASES]) == [c[2] for c in CASES]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_empty_table_and_clashing_names(spark):
     df = spark.createDataFrame([], "t string, us string, __x int")
     out = add_utc_micros(df, "us", F.col("t"), F.lit("UTC"), known_zones(spark))
