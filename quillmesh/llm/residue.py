@@ -2,8 +2,9 @@
 
 The sentences of each page's main part and titles, with digits masked, are the units. Units that a fixed pattern trusts to be residue,
 and titles that contradict the page's own metadata, are labelled. From the labelled units the label spreads to near-duplicates: units
-that share a band of their SimHash in one of four partitioned tables, differ in at most three bits and share at least 0.8 of their
-five-word shingles - round by round, until the connected components of the labelled units hold no unlabelled one.
+that share at least 0.8 of their five-word shingles - round by round, until the connected components of the labelled units hold no
+unlabelled one. A prefix filter on the rarest shingles finds every such pair. SimHash tables alone (bands, at most three bits) would
+miss most near-duplicates of the length of a sentence.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh import session
+from quillmesh.llm.clusters import prefixes
 from quillmesh.llm.pages import Page
 from quillmesh.llm.residue_patterns import sentences, trusted
 from quillmesh.operators.frequency import join_frequencies
@@ -83,24 +85,18 @@ def _shingles(text: Column) -> Column:
     return F.array_distinct(many)
 
 
-def spread(units: DataFrame, work: Workspace) -> DataFrame:
-    """uid of the units that labelled ones lead to: units has uid, text, labelled. In each round only the newly labelled units look for
-    unlabelled ones in their bands, so the pairs are those of residue texts, not of all texts that are alike."""
-
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"uid": b["uid"], "text": b["text"], "labelled": b["labelled"], "sim": simhash(b["text"].tolist())})
-
-    signed = work.write(units.select("uid", "text", "labelled").mapInPandas(sign, "uid bigint, text string, labelled boolean, sim bigint"), "signed")
-    width = BITS // BANDS
-    bands = F.array(*(F.concat(F.lit(f"{k}:"), F.shiftrightunsigned(F.col("sim"), k * width).bitwiseAND(F.lit((1 << width) - 1)).cast("string")) for k in range(BANDS)))
-    # Texts stay behind until the few pairs are found that share a band and nearly all bits.
-    rest = signed.where("not labelled").select("uid", "sim", F.explode(bands).alias("band"))
+def _spread(signed: DataFrame, keys: DataFrame, close: Column, work: Workspace) -> DataFrame:
+    """uid of the units that labelled ones lead to. signed: uid, text, labelled, sim; keys: uid, band - near-duplicates share a band;
+    close: whether sim and from_sim allow a pair. In each round only the newly labelled units look for unlabelled ones in their bands,
+    so the pairs are those of residue texts, not of all texts that are alike."""
+    # Texts stay behind until the few pairs are found that share a band and are close.
+    keyed = keys.join(signed.select("uid", "sim", "labelled"), "uid")
+    rest = work.write(keyed.where("not labelled").select("uid", "sim", "band"), "rest")
     texts = signed.select("uid", "text")
     frontier, found, n = signed.where("labelled").select("uid", "sim"), [], 0
     while True:
-        seek = frontier.select(F.col("uid").alias("from_uid"), F.col("sim").alias("from_sim"), F.explode(bands).alias("band"))
-        near = rest.join(seek, "band").where(F.bit_count(F.col("sim").bitwiseXOR(F.col("from_sim"))) <= MOST_BITS).select("uid", "sim", "from_uid").distinct()
+        seek = keys.join(frontier, "uid").select(F.col("uid").alias("from_uid"), F.col("sim").alias("from_sim"), "band")
+        near = rest.join(seek, "band").where(close).select("uid", "sim", "from_uid").distinct()
         for f in found:
             near = near.join(f.select("uid"), "uid", "left_anti")
         n += 1
@@ -119,6 +115,31 @@ def spread(units: DataFrame, work: Workspace) -> DataFrame:
     return out
 
 
+def spread_exactly(units: DataFrame, work: Workspace) -> DataFrame:
+    """uid of the units that labelled ones lead to over near-duplicates, none of which is missed: units has uid, text, labelled."""
+    hashes = F.array_distinct(F.transform(_shingles(F.col("text")), lambda s: F.xxhash64(s)))
+    signed = work.write(units.select("uid", "text", "labelled", hashes.alias("tokens")).withColumn("sim", F.size("tokens").cast("bigint")), "signed")
+    keys = work.write(prefixes(signed.select(F.col("uid").alias("node"), "tokens"), work, LEAST_SIMILARITY).select(F.col("node").alias("uid"), F.col("token").alias("band")), "keys")
+    # Sets of sizes further apart can't share that much.
+    close = F.least("sim", "from_sim") >= F.lit(LEAST_SIMILARITY) * F.greatest("sim", "from_sim") - F.lit(1e-9)
+    return _spread(signed.drop("tokens"), keys, close, work)
+
+
+def spread(units: DataFrame, work: Workspace) -> DataFrame:
+    """What spread_exactly gives, as far as SimHash tables find it: pairs of more than MOST_BITS bits are missed. residue_pages doesn't
+    use it."""
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"uid": b["uid"], "text": b["text"], "labelled": b["labelled"], "sim": simhash(b["text"].tolist())})
+
+    signed = work.write(units.select("uid", "text", "labelled").mapInPandas(sign, "uid bigint, text string, labelled boolean, sim bigint"), "signed")
+    width = BITS // BANDS
+    bands = F.array(*(F.concat(F.lit(f"{k}:"), F.shiftrightunsigned(F.col("sim"), k * width).bitwiseAND(F.lit((1 << width) - 1)).cast("string")) for k in range(BANDS)))
+    near = F.bit_count(F.col("sim").bitwiseXOR(F.col("from_sim"))) <= MOST_BITS
+    return _spread(signed, signed.select("uid", F.explode(bands).alias("band")), near, work)
+
+
 def residue_pages(doms: DataFrame, key: str = "dom_id", html: str = "html") -> DataFrame:
     """The distinct keys of the pages that show residue where their content or title should be.
 
@@ -138,7 +159,7 @@ def residue_pages(doms: DataFrame, key: str = "dom_id", html: str = "html") -> D
     rows = work.write(rows.withColumn("uid", F.xxhash64("text")), "rows")
     units = rows.groupBy("uid").agg(F.first("text").alias("text"), F.max("sure").alias("labelled"), F.count(F.lit(1)).alias("n"))
     units = work.write(units, "units")
-    reached = spread(units, work)
+    reached = spread_exactly(units, work)
     more = work.write(units.join(reached, "uid", "left_semi").select("uid", "n"), "reached")
     # A unit that is labelled by one page's metadata only labels the others through its text, like any near-duplicate.
     trusted_units = units.where("labelled").select("uid", "n").unionByName(more)

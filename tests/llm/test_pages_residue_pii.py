@@ -77,6 +77,38 @@ def test_labels_spread_to_near_duplicates_only(spark):
     assert got == want and 3 not in got
 
 
+def test_labels_reach_all_that_brute_force_reaches(spark):
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    for length in (3, 5, 9, 13, 16, 20, 30, 40, 60):
+        for _ in range(6):
+            base = [str(w) for w in rng.choice(words, length)]
+            texts.append(" ".join(base))
+            for cut in (1, 2, 3):
+                texts += [" ".join([*base[:-cut], *rng.choice(words, cut)]), " ".join(base[cut:]), " ".join([*base, *rng.choice(words, cut)])]
+    texts = list(dict.fromkeys([*texts, "blah " * 5 + "blah", "blah " * 8 + "blah"]))
+    labelled = {i for i in range(len(texts)) if i % 10 == 0} | {len(texts) - 2}
+    shingles = [{" ".join(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} for w in (t.split() for t in texts)]
+    alike = lambda i, j: len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])
+    want, new = set(labelled), set(labelled)
+    while new:
+        new = {j for j in range(len(texts)) if j not in want and any(alike(i, j) for i in new)}
+        want |= new
+    df = spark.createDataFrame([(i, t, i in labelled) for i, t in enumerate(texts)], "uid bigint, text string, labelled boolean")
+    got = {r.uid for r in residue.spread_exactly(df, Workspace(spark, "s")).collect()}
+    assert got == want - labelled and len(got) > 50
+
+
+def test_pages_with_slightly_changed_residue_are_found(spark):
+    fixed = "Please enable JavaScript to view this page because the archive draws each of its entries within your browser and cannot show any of them to you without it"
+    changed = "You must first " + fixed[7:].lower()
+    assert trusted(fixed) and not trusted(changed)
+    rows = [(1, page(f"<div><h1>Cat</h1><p>{fixed}</p></div>")), (2, page(f"<div><h1>Cat</h1><p>{changed}</p></div>")), (3, LAYOUTS["plain"])]
+    got = {r.dom_id for r in residue.residue_pages(spark.createDataFrame(rows, "dom_id bigint, html string")).collect()}
+    assert got == {1, 2}
+
+
 @pytest.mark.parametrize(("text", "kind"), [("Error 502: bad gateway.", "notice"), ("Seite nicht gefunden.", "notice"), ("asdf asdf", "filler"), ("It was posted by [YOUR TEXT HERE] in May.", "placeholder"), ("Editors wrote {0} on purpose.", ""), ("A normal sentence about an error 404 page.", "")])
 def test_trusted(text, kind):
     assert trusted(text) == kind
