@@ -12,6 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmesh.functions.timestamps import add_utc_micros, known_zones
 from quillmesh.functions.urls import fallback_namespace, namespace
 from quillmesh.operators import clustering, discovery, features, merge, pages, reports, select
 from quillmesh.session import Workspace
@@ -80,7 +81,8 @@ class Corpus:
 
     def pending_scrape(self, limit: int = 0, namespaces=None, confirmed_only: bool = True, refetch_days: int = 0, most_attempts: int = 3) -> DataFrame:
         urls = select.in_namespaces(self.read("urls"), select.namespace_names(namespaces), check=True)
-        urls = (urls.where("confirmed") if confirmed_only else urls).withColumn("lastmod", F.when(F.col("lastmod").rlike(r"^\d{4}-\d{2}-\d{2}"), F.col("lastmod")).try_cast("timestamp"))
+        urls = add_utc_micros(urls.where("confirmed") if confirmed_only else urls, "lastmod_us", F.col("lastmod"), F.lit("UTC"), known_zones(self.spark))
+        urls = urls.withColumn("lastmod", F.timestamp_micros("lastmod_us"))
         cutoff = F.lit(self.now()) - F.make_interval(days=F.lit(refetch_days)) if refetch_days else None
         return select.first_pending(select.scrape_buckets(urls, self.read("doms").withColumnRenamed("fetched_at", "fetched"), cutoff, most_attempts), limit)
 

@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmesh.functions.timestamps import add_utc_micros, known_zones
 from quillmesh.functions.urls import fallback_namespace
 from quillmesh.operators import discovery, merge, reports, select
-from quillmesh.plans.problems import read
+from quillmesh.plans.problems import read, with_zone
 
 _CUT = "2026-01-01 00:00:00"
 
@@ -76,6 +77,18 @@ def scrape_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.first_pending(select.scrape_buckets(_latest_urls(spark, sf_dir).where("confirmed"), _latest_doms(spark, sf_dir), F.lit("2025-10-01 00:00:00").cast("timestamp")))
 
 
+def scrape_pending_all_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """scrape_pending with lastmod in every form that is read (its SQL knows YYYY-MM-DD only) and the time of the last fetch in place of
+    the first, which stands in where the last one can't be read."""
+    zones = known_zones(spark)
+    urls = merge.last_in_batch(read(spark, sf_dir, "urls").select("url", "url_id", "discovered_at", "confirmed", "lastmod"), "url", ["discovered_at", "url_id"])
+    urls = add_utc_micros(urls, "us", F.col("lastmod"), F.lit("UTC"), zones).withColumn("lastmod", F.timestamp_micros("us"))
+    doms = read(spark, sf_dir, "doms").select("url", "dom_id", "received_at", "scrape_status", "fetched_at", "worker_id", "first_fetched_at", F.col("attempts").cast("int").alias("attempts"), "last_error_kind")
+    doms = with_zone(merge.last_in_batch(doms, "url", ["received_at", "dom_id"]), read(spark, sf_dir, "workers"))
+    doms = add_utc_micros(doms, "us", F.col("fetched_at"), F.col("worker_zone"), zones).withColumn("fetched", F.coalesce(F.timestamp_micros("us"), "first_fetched_at"))
+    return select.first_pending(select.scrape_buckets(urls.where("confirmed"), doms, F.lit("2025-10-01 00:00:00").cast("timestamp")))
+
+
 def filter_unscraped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.without_done(read(spark, sf_dir, "urls").select("url_id", "url"), read(spark, sf_dir, "doms"))
 
@@ -192,7 +205,7 @@ def table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FUNCTIONS = (
-    discovery_merge, discovery_change_detect, discovery_records, fetch_result_merge, fetch_tallies, scrape_pending, filter_unscraped, parse_pending, feature_pending, namespace_prefix_filter, failure_dead_letter, failure_namespace, scrape_stats, index_summary, parse_stats, field_coverage,
+    discovery_merge, discovery_change_detect, discovery_records, fetch_result_merge, fetch_tallies, scrape_pending, scrape_pending_all_forms, filter_unscraped, parse_pending, feature_pending, namespace_prefix_filter, failure_dead_letter, failure_namespace, scrape_stats, index_summary, parse_stats, field_coverage,
     chunk_assign, topk_remainder, run_history, run_summary_merge, summary_flatten, stage_totals, trend_series, taxonomy_prefixes, sitemap_reach, table_snapshot,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
