@@ -17,18 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm.boosting import BoostedTrees
-from quillmesh.llm.pii_candidates import CUES, DECOYS, KINDS, NAME_CUE, Lexicon, candidates, name_pairs, words_of
+from quillmesh.llm.pii_candidates import CUES, DECOYS, KINDS, NAME_CUE, Lexicon, candidates, lookups, name_pairs, words_of
+from quillmesh.operators.frequency import frequencies, join_frequencies
 from quillmesh.session import Workspace, spread
 
 #: Documents in the training sample, chosen by a hash of their text.
 TRAINING_DOCUMENTS = 8_000
-#: A word enters the lexicons if it has this share of all words or names at least, so a lexicon never has more than 100,000 words.
-LEXICON_SHARE = 1e-5
+#: A word has statistics from this number of occurrences on, however many documents there are.
+LEAST_COUNT = 2
 PLACEHOLDERS = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "person_name": "[PERSON_NAME]"}
 
 
-def lexicon(texts: DataFrame) -> Lexicon:
-    """The statistics of all texts (column text)."""
+def statistics(texts: DataFrame, work: Workspace) -> DataFrame:
+    """entry, given, common, family: the statistics of all texts (column text), a row for each entry as lookups names it."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -52,13 +53,36 @@ def lexicon(texts: DataFrame) -> Lexicon:
             yield pd.DataFrame(rows, columns=["what", "word", "n", "hits"])
 
     total = spread(texts.select("text")).mapInPandas(count, "what string, word string, n bigint, hits bigint").groupBy("what", "word").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
-    total = Workspace(texts.sparkSession, "lexicon").write(total, "words")
-    sizes = total.groupBy("what").agg(F.sum("n").alias("all"))  # three rows
-    total = total.join(F.broadcast(sizes), "what").where((F.col("n") >= F.greatest(F.lit(2), F.col("all") * LEXICON_SHARE)) & (F.col("hits") > 0))
-    table = total.select("what", "word", (F.col("hits") / F.col("n")).alias("rate")).toPandas()  # 100,000 words of each sort at most
-    by = {w: dict(zip(t["word"], t["rate"], strict=True)) for w, t in table.groupby("what")}
-    given = {w: r for w, r in by.get("given", {}).items() if r >= 0.05}
-    return Lexicon(given, by.get("family", {}), by.get("common", {}))
+    total = total.where((F.col("n") >= LEAST_COUNT) & (F.col("hits") > 0)).withColumn("rate", F.col("hits") / F.col("n"))
+    entry = F.concat(F.when(F.col("what") == "family", "f").otherwise("w"), F.col("word"))
+    of = lambda what: F.max(F.when(F.col("what") == what, F.col("rate"))).alias(what)
+    return work.write(total.where("what <> 'given' or rate >= 0.05").groupBy(entry.alias("entry")).agg(of("given"), of("common"), of("family")), "statistics")
+
+
+def with_statistics(texts: DataFrame, stats: DataFrame, work: Workspace) -> DataFrame:
+    """texts (row, text and others) with lex: the statistics of what its own text looks up. The lexicons stay a table: however many
+    words all documents have, a row brings those of its own text only."""
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(r, e) for r, t in zip(batch["row"], batch["text"], strict=True) if t for e in lookups(t)]
+            yield pd.DataFrame(rows, columns=["row", "entry"])
+
+    asked = work.write(spread(texts.select("row", "text")).mapInPandas(look, "row bigint, entry string"), "asked")
+    used = work.write(frequencies(asked, "entry", "n").join(stats, "entry"), "used")
+    found = join_frequencies(asked, used, "entry", "n").groupBy("row").agg(F.collect_list(F.struct("entry", "given", "common", "family")).alias("lex"))
+    return work.write(texts.join(found, "row", "left"), "texts")
+
+
+def lexicon(lex: list | None) -> Lexicon:
+    """The lexicon of one row of with_statistics."""
+    given, family, common = {}, {}, {}
+    for e in lex if lex is not None else ():
+        word = e["entry"][1:]
+        for name, into in (("given", given), ("family", family), ("common", common)):
+            if e[name] is not None and e[name] == e[name]:
+                into[word] = e[name]
+    return Lexicon(given, family, common)
 
 
 def label(kind: str, text: str, start: int, features: list[float], lex: Lexicon) -> int:
@@ -73,8 +97,8 @@ def label(kind: str, text: str, start: int, features: list[float], lex: Lexicon)
     return 0 if DECOYS.search(before) or any(CUES[k].search(before) for k in ("phone", "id_number") if k != kind) else -1
 
 
-def train(documents: DataFrame, lex: Lexicon, training_documents: int = TRAINING_DOCUMENTS) -> dict[str, BoostedTrees | bool | None]:
-    """A model for each kind. Where the sample has labelled rows of one class only, that class: True or False; where it has no labelled
+def train(documents: DataFrame, training_documents: int = TRAINING_DOCUMENTS) -> dict[str, BoostedTrees | bool | None]:
+    """A model for each kind; documents: as with_statistics gives them. Where the sample has labelled rows of one class only, that class: True or False; where it has no labelled
     row, None: then the cue alone decides."""
     n = documents.count()
     chosen = documents.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < F.lit(int(min(1.0, training_documents / max(n, 1)) * 1_000_003))).limit(training_documents)
@@ -82,14 +106,15 @@ def train(documents: DataFrame, lex: Lexicon, training_documents: int = TRAINING
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text in batch["text"]:
+            for text, own in zip(batch["text"], batch["lex"], strict=True):
+                lex = lexicon(own)
                 for kind, s, _, x in candidates(text or "", lex):
                     y = label(kind, text, s, x, lex)
                     if y >= 0:
                         out.append((kind, y, x))
             yield pd.DataFrame(out, columns=["kind", "y", "x"])
 
-    table = spread(chosen.select("text")).mapInPandas(rows, "kind string, y int, x array<double>").toPandas()
+    table = spread(chosen.select("text", "lex")).mapInPandas(rows, "kind string, y int, x array<double>").toPandas()
     models: dict[str, BoostedTrees | bool | None] = {}
     for kind in KINDS:
         own = table[table["kind"] == kind].reset_index(drop=True)
@@ -106,12 +131,12 @@ def train(documents: DataFrame, lex: Lexicon, training_documents: int = TRAINING
     return models
 
 
-def select(texts: list[str], lex: Lexicon, models: dict[str, BoostedTrees | bool | None]) -> list[list[tuple[str, int, int]]]:
+def select(texts: list[str], lexicons: list[Lexicon], models: dict[str, BoostedTrees | bool | None]) -> list[list[tuple[str, int, int]]]:
     """(kind, start, end) of the spans to redact in each text, in their order: of overlapping ones the most probable, then the longest.
     The spans of all texts are scored together, kind by kind."""
     by_kind: dict[str, list[tuple[int, int, int]]] = {k: [] for k in KINDS}
     features: dict[str, list[list[float]]] = {k: [] for k in KINDS}
-    for n, text in enumerate(texts):
+    for n, (text, lex) in enumerate(zip(texts, lexicons, strict=True)):
         for kind, s, e, x in candidates(text, lex):
             by_kind[kind].append((n, s, e))
             features[kind].append(x)
@@ -146,17 +171,19 @@ def find(documents: DataFrame, key: str = "doc_id", training_documents: int = TR
     span replaced by the placeholder of its kind and nothing else changed. start counts code points.
     """
     spark = documents.sparkSession
-    texts = documents.select(key, "text")
-    lex = lexicon(texts.where("text is not null"))
-    models = train(texts.where("text is not null"), lex, training_documents)
-    shared = spark.sparkContext.broadcast((lex, models))
+    work = Workspace(spark, "pii")
+    texts = work.write(spread(documents.select(key, "text")).withColumn("row", F.monotonically_increasing_id()), "rows")
+    stats = statistics(texts.where("text is not null"), work)
+    texts = with_statistics(texts, stats, work)
+    models = train(texts.where("text is not null"), training_documents)
+    shared = spark.sparkContext.broadcast(models)
 
     def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lex, models = shared.value
+        models = shared.value
         for batch in batches:
             spans, redacted = [], []
             texts = batch["text"].tolist()
-            for text, own in zip(texts, select([t or "" for t in texts], lex, models), strict=True):
+            for text, own in zip(texts, select([t or "" for t in texts], [lexicon(x) for x in batch["lex"]], models), strict=True):
                 if text is None:
                     spans.append([])
                     redacted.append(None)
@@ -170,4 +197,4 @@ def find(documents: DataFrame, key: str = "doc_id", training_documents: int = TR
             yield pd.DataFrame({key: batch[key], "text": batch["text"], "spans": spans, "redacted": redacted})
 
     kind = documents.schema[key].dataType.simpleString()
-    return spread(texts).mapInPandas(apply, f"{key} {kind}, text string, spans array<struct<kind:string,start:int,found_text:string>>, redacted string")
+    return spread(texts.select(key, "text", "lex")).mapInPandas(apply, f"{key} {kind}, text string, spans array<struct<kind:string,start:int,found_text:string>>, redacted string")

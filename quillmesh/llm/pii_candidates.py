@@ -63,6 +63,18 @@ def words_of(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), m[0]) for m in _WORD.finditer(text)]
 
 
+def lookups(text: str) -> set[str]:
+    """What candidates may look up for a text: w and a word or a part of one, for given and common; f and the last four letters of a
+    part, for family."""
+    out = set()
+    for m in _WORD.finditer(text):
+        w = m[0].lower()
+        parts = {w, *w.split("-"), *re.split("['’]", w), *re.split("['’-]", w)}
+        out.update("w" + x for x in parts)
+        out.update("f" + x[-4:] for x in w.split("-"))
+    return out
+
+
 def _case(w: str) -> int:
     return 2 if w.islower() else 1 if w.isupper() and len(w) > 1 else 0 if w[:1].isupper() else 3
 

@@ -192,3 +192,20 @@ def test_block_key_is_md5_of_utf8(spark):
 
     r = spark.createDataFrame([("é",)], "b string").select(F.substring(F.md5(F.col("b").cast("binary")), 1, 16).alias("k")).first()
     assert r.k == hashlib.md5("é".encode()).hexdigest()[:16]
+
+
+def test_rare_words_keep_their_statistics_in_a_large_corpus(spark):
+    """Two occurrences count, however many other words there are; each row gets what a lexicon of all documents would give its text."""
+    told = ["Photo credit: Anna Karrova-Lee, who drew the zebra.", "Credit: Anna Karrova-Lee and her zebra; write to anna-lee@mail.example or to O'anna@mail.example, ANNA KARROVA", None, ""]
+    texts = told + ["so " * 1000] * 400
+    df = spark.createDataFrame(list(enumerate(texts)), "row bigint, text string")
+    work = Workspace(spark, "s")
+    stats = pii.statistics(df.where("text is not null"), work)
+    table = {r.entry: r for r in stats.collect()}
+    assert table["wzebra"].common == 1.0 and table["wanna"].given > 0.5
+    whole = Lexicon(*({e[1:]: r[n] for e, r in table.items() if r[n] is not None} for n in ("given", "family", "common")))
+    rows = {r.row: r.lex for r in pii.with_statistics(df, stats, work).collect()}
+    assert len(rows) == len(texts)
+    for i in (0, 1):
+        want = list(candidates(told[i], whole))
+        assert want and list(candidates(told[i], pii.lexicon(rows[i]))) == want
