@@ -96,14 +96,17 @@ def pending_stages(urls: DataFrame, fetches: DataFrame, entries: DataFrame, runs
     """(url, stage) for each url whose page has to be fetched or parsed since the last success.
 
     urls: url, confirmed, lastmod_us (microseconds, or null). fetches: good_fetches with fetched_us. entries: url, dom_content_sha256,
-    run_id, parsed_at, entry_id. runs: run_id, state, created_at. horizon: where reading of fetches starts; None for the first run.
+    run_id, parsed_at, entry_id. runs: run_id, state, created_at. horizon: only urls with a fetch received
+    from there on can be to parse; None for the first run.
     Rows with a null url and fetches without an instant are left out; of fetches at one instant the greatest dom_id counts.
     """
-    current = latest(reread_from(fetches, F.col("received_at"), horizon), ["url"], [F.col("fetched_us"), F.col("dom_id")], ["version", "fetched_us"])
+    newest = latest(fetches, ["url"], [F.col("fetched_us"), F.col("dom_id")], ["version", "fetched_us"])
+    # The horizon only tells which urls were touched; what is current of them is told by all their fetches.
+    current = newest if horizon is None else newest.join(reread_from(fetches, F.col("received_at"), horizon).select("url").distinct(), "url", "left_semi")
     committed = entries.join(succeeded_runs(runs), "run_id", "left_semi").where("url is not null")
     committed = committed.select("url", "parsed_at", "entry_id", F.lower("dom_content_sha256").alias("version"))
     ledger = latest(committed, ["url"], [F.col("parsed_at"), F.col("entry_id")], ["version"])
     parse = unprocessed(current, ledger, ["url"], "version").select("url", F.lit("parse").alias("stage"))
     known = urls.where("url is not null").groupBy("url").agg(F.max("confirmed").alias("confirmed"), F.max("lastmod_us").alias("lastmod_us")).where("confirmed")
-    fetch = known.join(current.select("url", "fetched_us"), "url", "left").where("fetched_us is null or lastmod_us > fetched_us")
+    fetch = known.join(newest.select("url", "fetched_us"), "url", "left").where("fetched_us is null or lastmod_us > fetched_us")
     return parse.unionByName(fetch.select("url", F.lit("fetch").alias("stage")))
