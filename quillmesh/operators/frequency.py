@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A key is frequent from this share of all rows on. There are at most 1 / share such keys, whatever the data, so their table may be broadcast.
+#: A key is frequent from this share of all rows on. There are at most 1 / share such keys, whatever the data.
 FREQUENT_SHARE = 1 / 10_000
 
 
@@ -14,15 +15,27 @@ def frequencies(rows: DataFrame, key: str, name: str = "df") -> DataFrame:
     return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def join_frequencies(rows: DataFrame, freq: DataFrame, key: str, name: str = "df") -> DataFrame:
-    """rows with the frequency of their key (inner join), for a freq that is a written table.
+def join_salted(rows: DataFrame, other: DataFrame, key: str, counts: DataFrame, name: str = "n") -> DataFrame:
+    """rows with the rows of other that have their key (inner join); counts, a written table, has the key's number of rows (or a bound of
+    it) once for each key.
 
-    Frequent keys, of which there are at most 10,000, are looked up in a broadcast table and never shuffled; of any other key there
-    are less than a 10,000th of all rows, so the shuffled join of the rest has no hot partition.
+    A key with at least a 10,000th of all rows is frequent. Its rows are dealt out over as many parts as it has 10,000ths, and its rows
+    of other are repeated for each part, at most 20,000 repetitions for all keys together when other has a row for each key. What is
+    broadcast to tell frequent keys are at most 10,000 rows of a hash and a number, 16 bytes each, however long the keys are. rows is
+    read once.
     """
-    total = freq.agg(F.coalesce(F.sum(name), F.lit(0))).first()[0]
-    least = max(2, total * FREQUENT_SHARE)
-    hot = F.broadcast(freq.where(F.col(name) >= least))
-    cold = freq.where(F.col(name) < least)
-    rest = rows.join(hot.select(key), key, "left_anti")
-    return rows.join(hot, key).unionByName(rest.join(cold, key))
+    least = max(2.0, (counts.agg(F.coalesce(F.sum(name), F.lit(0))).first()[0]) * FREQUENT_SHARE)
+    parts = F.ceil(F.col(name) / F.lit(least)).cast("int")
+    hot = F.broadcast(counts.where(F.col(name) >= least).groupBy(F.xxhash64(key).alias("__hot")).agg(F.max(parts).alias("__parts")))
+    told = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    part = F.pmod(F.xxhash64(F.lit(7), *(F.col(f"`{c}`") for c in told)), F.coalesce("__parts", F.lit(1))).cast("int")
+    dealt = rows.join(hot, F.xxhash64(key) == F.col("__hot"), "left").withColumn("__part", part).drop("__hot", "__parts")
+    copied = other.join(hot, F.xxhash64(key) == F.col("__hot"), "left")
+    copied = copied.withColumn("__part", F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))).drop("__hot", "__parts")
+    return dealt.join(copied, [key, "__part"]).drop("__part")
+
+
+def join_frequencies(rows: DataFrame, freq: DataFrame, key: str, name: str = "df") -> DataFrame:
+    """rows with the one row of freq that has their key (inner join), for a freq that is a written table and holds the key's number
+    of rows as name."""
+    return join_salted(rows, freq, key, freq, name)
