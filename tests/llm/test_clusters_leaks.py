@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -46,7 +47,7 @@ def test_groups_against_brute_force(spark, seed):
     assert {(r.root_id, r["size"]) for r in top} == set(sizes.items()) and all(1 <= len(r.typical) <= 3 for r in top)
 
 
-def test_leader_rounds_find_groups_that_share_a_bucket(spark):
+def test_groups_that_share_a_bucket(spark):
     """Sets of few tokens put common tokens into their prefixes, so one bucket holds many groups that aren't similar."""
     sets = {10 * g + m: {"common": 1, f"g{g}": 1, f"h{g}": 1} | ({f"x{g}{m}": 1} if m else {}) for g in range(12) for m in range(3)}
     members, _ = clusters.cluster(features(spark, sets))
@@ -58,11 +59,93 @@ def test_empty_features(spark):
     assert members.count() == 0 and clusters.typical(classes, Workspace(spark, "t")).count() == 0
 
 
-def test_markov_flow_splits_at_a_weak_bridge(spark):
-    edges = [(a, b, 1.0) for g in ((1, 2, 3), (11, 12, 13)) for a in g for b in g] + [(3, 11, 0.1), (11, 3, 0.1)]
-    got = clusters.markov(spark.createDataFrame(edges, "a bigint, b bigint, weight double"), Workspace(spark, "m"))
-    found = {r.node: r.cluster for r in got.collect()}
-    assert len({found[i] for i in (1, 2, 3)}) == 1 and len({found[i] for i in (11, 12, 13)}) == 1 and found[1] != found[11]
+def dense_markov(sets, threshold=0.5, inflation=2.0):
+    """Markov clustering of single records on a full matrix: id -> the row that attracts it (of equal ones the first)."""
+    ids = sorted(sets)
+    m = np.array([[len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in ids] for b in ids])
+    m = np.where(m >= threshold, m, 0.0)
+    for _ in range(100):
+        m = m / m.sum(0)
+        m = (m @ m) ** inflation
+    m = m / m.sum(0)
+    return {j: ids[int(np.argmax(np.round(m[:, n], 6)))] for n, j in enumerate(ids)}
+
+
+def partition(of):
+    groups = {}
+    for i, c in of.items():
+        groups.setdefault(c, set()).add(i)
+    return {frozenset(g) for g in groups.values()}
+
+
+def on_a_line(places, length=30):
+    """Sets of consecutive numbers: two are linked if they begin no more than a third of their length apart."""
+    return {i: {f"t{k}" for k in range(p, p + length)} for i, p in enumerate(places)}
+
+
+LINES = {
+    "weak bridge": [0, 4, 8, 18, 22, 26],
+    "long chain": [0, 9, 18, 27, 36, 45, 54, 63],
+    "uneven": [0, 4, 8, 12, 22, 31, 35, 100, 104, 109, 119, 128, 132],
+    "balls and a bridge": [0, 0, 1, 2, 1, 5, 6, 14, 15, 25, 26, 27, 25, 31, 32, 33],
+    "copies": [0] * 8 + [9] + [18] * 5 + [60] * 3 + [69],
+}
+
+
+@pytest.mark.parametrize("name", sorted(LINES))
+def test_clusters_are_those_of_markov_clustering_on_a_full_matrix(spark, name):
+    sets = on_a_line(LINES[name])
+    members, _ = clusters.cluster(features(spark, {i: dict.fromkeys(s, 1) for i, s in sets.items()}))
+    got = {r.feature_id: r.root for r in members.collect()}
+    want = partition(dense_markov(sets))
+    assert partition(got) == want and all(r == min(g) for g in want for r in {got[i] for i in g})
+    if name == "weak bridge":
+        assert want == {frozenset({0, 1, 2}), frozenset({3, 4, 5})}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_graph_holds_every_link(spark, seed):
+    rng = random.Random(seed)
+    sets = {i: set(rng.sample(sorted({f"c{k}" for k in range(c, c + 26)}), 22 + rng.randrange(4))) for i in range(90) for c in [rng.choice((0, 5, 9, 14, 40))]}
+    work = Workspace(spark, "g")
+    df = features(spark, {i: dict.fromkeys(s, 1) for i, s in sets.items()})
+    _, classes = clusters.classes_of(clusters.token_sets(df), "feature_id")
+    nodes = work.write(classes.select("node", "size", "tokens"), "nodes")
+    ranked, freq = clusters.rarest_first(nodes, work)
+    placed = clusters.balls(nodes, ranked, freq, work)
+    ball = {r.node: (r.ball, r.near) for r in placed.collect()}
+    size = {r.node: r["size"] for r in nodes.collect()}
+    assert set(ball) == set(size) and sum(size.values()) == len(sets)
+    jaccard = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert all(jaccard(i, b) == pytest.approx(near) and near >= 0.8 for i, (b, near) in ball.items())
+    graph = {(r.a, r.b): r.weight for r in clusters.links(nodes, ranked, freq, placed, work, 0.5).collect()}
+    assert len({b for b, _ in ball.values()}) < len(ball) and all(graph[a, b] == pytest.approx(graph[b, a]) for a, b in graph)
+    for i in ball:
+        for j in ball:
+            a, b = ball[i][0], ball[j][0]
+            if jaccard(i, j) >= 0.5:
+                assert (a, b) in graph
+            elif a == b:
+                raise AssertionError("members of a ball are linked")
+
+
+def test_markov_weighs_a_node_as_so_many_records(spark):
+    """A node of n records flows as n records with equal links do."""
+    near = {(0, 1): 0.9, (1, 2): 0.5, (2, 3): 0.9}
+    records = [5, 1, 1, 2]
+    edges = [(a, b, w, records[b]) for (x, y), w in near.items() for a, b in ((x, y), (y, x))] + [(a, a, 1.0, n) for a, n in enumerate(records)]
+    work = Workspace(spark, "m")
+    got = {r.node: r.cluster for r in clusters.markov(work.write(spark.createDataFrame(edges, "a bigint, b bigint, weight double, records bigint"), "e"), work).collect()}
+    row = [k for k, n in enumerate(records) for _ in range(n)]
+    weight = {(a, b): w for a, b, w, _ in edges}
+    m = np.array([[weight.get((a, b), 0.0) for a in row] for b in row])
+    for _ in range(100):
+        m = m / m.sum(0)
+        m = (m @ m) ** 2
+    m = m / m.sum(0)
+    assert got == {k: row[int(np.argmax(np.round(m[:, row.index(k)], 6)))] for k in range(4)}
+    with pytest.raises(RuntimeError, match="settled"):
+        clusters.markov(work.write(spark.createDataFrame(edges, "a bigint, b bigint, weight double, records bigint"), "f"), work, rounds=1)
 
 
 ITEM = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen".split()
