@@ -15,16 +15,18 @@ def frequencies(rows: DataFrame, key: str, name: str = "df") -> DataFrame:
     return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
-def join_salted(rows: DataFrame, other: DataFrame, key: str, counts: DataFrame, name: str = "n") -> DataFrame:
-    """rows with the rows of other that have their key (inner join); counts, a written table, has the key's number of rows (or a bound of
-    it) once for each key.
+def join_salted(rows: DataFrame, other: DataFrame, key: str, counts: DataFrame, name: str = "n", total: int | None = None) -> DataFrame:
+    """rows with the rows of other that have their key (inner join); counts, best a written table, has the key's number of rows (or a bound of
+    it) once for each key; total, where the caller knows it, is the sum of these numbers.
 
     A key with at least a 10,000th of all rows is frequent. Its rows are dealt out over as many parts as it has 10,000ths, and its rows
     of other are repeated for each part, at most 20,000 repetitions for all keys together when other has a row for each key. What is
     broadcast to tell frequent keys are at most 10,000 rows of a hash and a number, 16 bytes each, however long the keys are. rows is
     read once.
     """
-    least = max(2.0, (counts.agg(F.coalesce(F.sum(name), F.lit(0))).first()[0]) * FREQUENT_SHARE)
+    if total is None:
+        total = counts.agg(F.coalesce(F.sum(name), F.lit(0))).first()[0]
+    least = max(2.0, total * FREQUENT_SHARE)
     parts = F.ceil(F.col(name) / F.lit(least)).cast("int")
     hot = F.broadcast(counts.where(F.col(name) >= least).groupBy(F.xxhash64(key).alias("__hot")).agg(F.max(parts).alias("__parts")))
     told = [f.name for f in rows.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
