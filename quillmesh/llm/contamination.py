@@ -2,7 +2,9 @@
 
 Seeds are windows of consecutive words that an item and a document share; joining them finds the pairs to look at. For each pair the
 longest matches that don't overlap are marked one after another, Karp-Rabin hashes finding the matches of each length, so a passage
-that was cut up and put together in another order is still covered by its tiles.
+that was cut up and put together in another order is still covered by its tiles. The share of the passage under tiles decides. As tiles
+mark each word of the document once, a passage that repeats itself can be covered by text that stands there once only; what tiles leave
+below the share gets a second stage, exact, in which words of the document may be used again.
 """
 
 from __future__ import annotations
@@ -96,13 +98,15 @@ def covered(stretches: list[tuple[int, int, int]]) -> int:
 
 
 def leaks(documents: DataFrame, items: DataFrame, least_words: int = 8, least_share: float = 0.5) -> DataFrame:
-    """doc_id, item_id, passage_words, tiled_words, covered_words, tiles, longest for each document that contains so large a share of
-    an item's passage in stretches of at least least_words words.
+    """doc_id, item_id, passage_words, tiled_words, tiles, longest, by_tiles, covered_words for each document that contains so large a share
+    of an item's passage in stretches of at least least_words words: by_tiles if the tiles cover the share, else the second stage
+    has found it.
 
     documents: doc_id, text; items: item_id, passage. Texts are compared as words(); null and empty texts and passages shorter than
-    least_words match nothing. Tiles mark each word once on either side; the share is measured on all stretches of the passage that
-    stand anywhere in the document, so a document that holds a phrase once covers both of its places in the passage. Rows that
-    repeat an id count as texts of their own and their rows are united by the greatest cover.
+    least_words match nothing. Tiles mark each word once on either side; the second stage, for pairs that miss the share by tiles,
+    measures all stretches of the passage that stand anywhere in the document, so a document that holds a phrase once covers both of
+    its places in the passage. covered_words is that of the stage that decided. Rows that repeat an id count as texts of their own and
+    their rows are united by the greatest cover.
     """
     spark = documents.sparkSession
     work = Workspace(spark, "leaks")
@@ -133,13 +137,17 @@ def leaks(documents: DataFrame, items: DataFrame, least_words: int = 8, least_sh
             for doc, item, passage, text in zip(batch.doc_id, batch.item_id, batch.passage, batch.words, strict=True):
                 passage, text = list(passage), list(text)
                 tiles = tile(passage, text, least_words)
-                cover = covered(matches(passage, text, least_words))
+                tiled = cover = covered(tiles)
+                by_tiles = tiled >= least_share * len(passage)
+                if not by_tiles:
+                    cover = covered(matches(passage, text, least_words))
                 if cover >= least_share * len(passage):
-                    rows.append((doc, item, len(passage), covered(tiles), cover, len(tiles), max(n for _, _, n in tiles)))
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "passage_words", "tiled_words", "covered_words", "tiles", "longest"])
+                    rows.append((doc, item, cover, len(passage), tiled, len(tiles), max(n for _, _, n in tiles), by_tiles))
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "covered_words", "passage_words", "tiled_words", "tiles", "longest", "by_tiles"])
 
     ids = {f.name: f.dataType.simpleString() for f in pairs.schema}
-    found = pairs.mapInPandas(compare, f"doc_id {ids['doc_id']}, item_id {ids['item_id']}, passage_words int, tiled_words int, covered_words int, tiles int, longest int")
+    found = pairs.mapInPandas(compare, f"doc_id {ids['doc_id']}, item_id {ids['item_id']}, covered_words int, passage_words int, tiled_words int, tiles int, longest int, by_tiles boolean")
     names = [c for c in found.columns if c not in ("doc_id", "item_id")]
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("covered_words", *(c for c in names if c != "covered_words"))).alias("b"))
-    return best.select("doc_id", "item_id", *(F.col(f"b.{c}") for c in names))
+    order = ("passage_words", "tiled_words", "tiles", "longest", "by_tiles", "covered_words")
+    return best.select("doc_id", "item_id", *(F.col(f"b.{c}") for c in order))

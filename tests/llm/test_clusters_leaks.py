@@ -183,12 +183,19 @@ def test_leaks(spark, monkeypatch):
     items = [(10, p, "Answer the question."), (11, p, "Answer the question."), (12, "too short", None), (13, None, None), (14, "", None)]
     want = {(d, i) for d in (1, 2, 4, 8) for i in (10, 11)}
     got = leaked(spark, texts, items)
+    assert all(r.by_tiles for r in got.values())
     assert set(got) == want and got[4, 10].tiles == 2 and got[4, 10].covered_words == 16 and got[2, 10].covered_words == 8
     monkeypatch.setattr(contamination, "BROADCAST_SEEDS", 0)
     assert set(leaked(spark, texts, items)) == want
     assert leaked(spark, [], items) == {} and leaked(spark, texts, []) == {}
 
 
+def test_leaks_that_tiles_alone_leave_below_the_share(spark):
+    """The passage says the same eight words three times, the document once: tiles cover a third, all stretches the whole."""
+    rows = leaked(spark, [(1, " ".join(ITEM[:8])), (2, " ".join(ITEM[:8] * 2))], [(10, " ".join(ITEM[:8] * 3), None)])
+    assert not rows[1, 10].by_tiles and rows[1, 10].tiled_words == 8 and rows[1, 10].covered_words == 24 and rows[2, 10].by_tiles
+
+
 def test_words(spark):
     r = spark.createDataFrame([("Été's  A-1 ... b!", "x")], "t string, u string").select(contamination.words(F.col("t")).alias("w")).first()
     assert r.w == ["étés", "a1", "b"] and re.match("b", r.w[-1])
