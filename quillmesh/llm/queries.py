@@ -16,30 +16,35 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _pair_table(spark: SparkSession) -> cooccurrence.PairTable:
-    return cooccurrence.PairTable(spark, f"{shared_folder(spark)}/pairs-{uuid.uuid4().hex[:12]}", buckets=16)
+    return cooccurrence.PairTable(spark, f"{shared_folder(spark)}/pairs-{uuid.uuid4().hex[:12]}", buckets=4)
 
 
 def _above_chance(table: cooccurrence.PairTable) -> DataFrame:
     return table.association(least_count=5).where(F.col("n_ab") * F.col("n") >= 3 * F.col("n_a") * F.col("n_b"))
 
 
+def _in_batches(spark: SparkSession, sf_dir: str, batches: int, order: tuple[int, ...] = ()) -> cooccurrence.PairTable:
+    """A pair table that has taken in the entries in batches of equal spans of time, in their order or another. The first also brings
+    those without a time."""
+    entries, table = read(spark, sf_dir, "entries"), _pair_table(spark)
+    least, most = entries.agg(F.min(F.unix_micros("parsed_at")), F.max(F.unix_micros("parsed_at"))).first()
+    at = F.coalesce(F.unix_micros("parsed_at"), F.lit(least if least is not None else 0))
+    batch = F.least(F.floor((at - F.lit(least or 0)) * batches / F.lit(max(1, (most or 0) - (least or 0)))), F.lit(batches - 1))
+    for n in order or range(batches):
+        table.update(str(n), cooccurrence.current_baskets(entries.where(batch == n)))
+    return table
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of items far above chance, from a pair table that takes all current entries as one batch of new baskets."""
-    table = _pair_table(spark)
-    table.apply("all", cooccurrence.additions(cooccurrence.current_baskets(read(spark, sf_dir, "entries"))))
-    return _above_chance(table).select("item_a", "item_b")
+    """Pairs of items far above chance, from a pair table that has taken in the entries in two batches: what was parsed in the first half of the
+    time, then what has changed since, as signed deltas."""
+    return _above_chance(_in_batches(spark, sf_dir, 2)).select("item_a", "item_b")
 
 
 def p1_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same pairs, from two batches: the entries parsed before the middle of the time span, then what changed since, as signed
-    deltas."""
-    entries = read(spark, sf_dir, "entries")
-    cut = entries.agg(F.expr("timestamp_micros(cast((unix_micros(min(parsed_at)) + unix_micros(max(parsed_at))) / 2 as bigint))")).first()[0]
-    before, now = cooccurrence.current_baskets(entries.where(F.col("parsed_at") < F.lit(cut))), cooccurrence.current_baskets(entries)
-    table = _pair_table(spark)
-    table.apply("first", cooccurrence.additions(before))
-    table.apply("second", cooccurrence.changes(before, now))
-    return _above_chance(table).select("item_a", "item_b", "n_ab", "n_a", "n_b", "n")
+    """The same pairs with their counts, from three batches of which the second comes last: where the third has brought a later form of a
+    basket, the second's is late."""
+    return _above_chance(_in_batches(spark, sf_dir, 3, (0, 2, 1))).select("item_a", "item_b", "n_ab", "n_a", "n_b", "n")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,43 +26,72 @@ def expected(baskets):
     return dict(pairs), dict(items)
 
 
-def frame(spark, baskets):
-    return spark.createDataFrame([(k, sorted(set(v))) for k, v in baskets.items()], "basket string, items array<string>")
+def frame(spark, baskets, at=1):
+    rows = [(k, None if v is None else sorted(set(v)), at) for k, v in baskets.items()]
+    return spark.createDataFrame(rows, "basket string, items array<string>, at int")
 
 
 def test_items_of_a_basket(spark):
     rows = [
         ("u", 1, None, ["x"], None, None), ("u", 2, None, [" #Big_Cat ", "big  cat", "", " ", None, "#"], ["/types/Image-Macro/", "https://e/types/image-macro", None, "//"], "e"), (None, 9, None, ["y"], None, None), ("v", 3, None, None, [], None), ("v", 3, None, None, [], None),
     ]
-    got = {r.basket: r["items"] for r in cooccurrence.current_baskets(spark.createDataFrame(rows, ENTRIES)).collect()}
+    got = {r.basket: r["items"] for r in cooccurrence.current_baskets(spark.createDataFrame(rows, ENTRIES)).drop("at").collect()}
     assert got == {"u": ["tag:big cat", "type:image-macro"], "v": []}
 
 
-def test_pair_table_follows_changes(spark, tmp_path):
-    table = cooccurrence.PairTable(spark, str(tmp_path / "p"), buckets=4)
-    state = {"a": "xyz", "b": "xy", "c": "", "d": "z"}
-    table.apply("1", cooccurrence.additions(frame(spark, state)))
-    assert counts(table) == expected(state)
-    new = {"a": "xy", "b": "xy", "d": "zw", "e": "xw", "c": ""}
-    changed = cooccurrence.changes(frame(spark, state), frame(spark, new))
-    assert {r.basket for r in changed.collect()} == {"a", "d", "e"}
-    table.apply("2", changed)
-    table.apply("2", changed)
-    assert counts(table) == expected(new)
-    got = {(r.item_a, r.item_b): r for r in table.association().collect()}
-    assert got["x", "y"].n_ab == 2 and got["x", "y"].n == 5 and got["x", "y"].lift == pytest.approx(2 * 5 / (3 * 2)) and got["x", "y"].pmi == pytest.approx(math.log2(5 / 3))
-    touched = spark.createDataFrame([("w",), ("w",)], "item string")
-    assert {(r.item_a, r.item_b) for r in table.association(touched=touched).collect()} == {("w", "x"), ("w", "z")}
+def scores(table):
+    return {(r.item_a, r.item_b): (r.n_ab, r.n_a, r.n_b, r.n, r.lift, r.pmi) for r in table.association().collect()}
+
+
+def expected_scores(baskets):
+    pairs, items = expected(baskets)
+    n, out = items[None], {}
+    for (a, b), k in pairs.items():
+        lift = k * n / (items[a] * items[b])
+        out[a, b] = (k, items[a], items[b], n, pytest.approx(lift), pytest.approx(math.log2(lift)))
+    return out
+
+
+def test_pair_table_follows_changes(spark, tmp_path, monkeypatch):
+    table = cooccurrence.PairTable(spark, str(tmp_path / "p"), buckets=2, at="int")
+    state = {"a": "xyz", "b": "xy", "c": "", "d": "z", "f": "uv"}
+    table.update("1", frame(spark, state))
+    assert counts(table) == expected(state) and scores(table) == expected_scores(state)
+    held = table._manifest()
+    # Changed, gone, new, equal and late forms; a batch that comes twice counts once. The large basket's pairs are formed apart.
+    monkeypatch.setattr(cooccurrence, "LARGE_BASKET", 2)
+    batch = {"a": "xy", "b": "xy", "c": None, "d": "zwx", "e": "xw"}
+    table.update("2", frame(spark, batch, 2))
+    table.update("2", frame(spark, {"a": "q"}, 3))
+    table.update("late", frame(spark, {"a": "q", "c": "q", "f": "uv"}, 1))
+    state = {"a": "xy", "b": "xy", "d": "zwx", "e": "xw", "f": "uv"}
+    assert counts(table) == expected(state) and scores(table) == expected_scores(state)
+    assert table._manifest()["scores"] != held["scores"]
     # A batch that fails before its manifest changes nothing.
-    (tmp_path / "p/manifest/3").mkdir()
-    assert counts(table) == expected(new)
-    table.apply("4", cooccurrence.changes(frame(spark, new), frame(spark, {}).limit(0)))
-    assert counts(table) == ({}, {})
+    (tmp_path / "p/manifest/9").mkdir()
+    assert counts(table) == expected(state)
+    monkeypatch.setattr(cooccurrence, "BYTES_PER_BUCKET", 500)
+    table.update("4", frame(spark, {"g": "xu"}, 4))
+    state["g"] = "xu"
+    assert table._manifest()["buckets"] > 2 and counts(table) == expected(state) and scores(table) == expected_scores(state)
+    table.update("5", frame(spark, dict.fromkeys(state), 5))
+    assert counts(table) == ({}, {}) and scores(table) == {}
+
+
+def test_only_affected_scores_are_computed_again(spark, tmp_path, monkeypatch):
+    table = cooccurrence.PairTable(spark, str(tmp_path / "p"), buckets=64, at="int")
+    table.update("1", frame(spark, {"a": "xy", "b": "uv", "c": "st"}))
+    seen = []
+    staged = table._stage
+    monkeypatch.setattr(table, "_stage", lambda df, v, name: seen.append((name, staged(df, v, name).collect())) or staged(df, v, name))
+    table.update("2", frame(spark, {"d": "x"}, 2))
+    assert {(r.item_a, r.item_b) for name, rows in seen if name == "affected" for r in rows} == {("x", "y")}
 
 
 def test_pair_table_empty(spark, tmp_path):
-    table = cooccurrence.PairTable(spark, str(tmp_path / "p"))
-    table.apply("1", cooccurrence.additions(frame(spark, {"a": ""}).limit(0)))
+    table = cooccurrence.PairTable(spark, str(tmp_path / "p"), at="int")
+    assert table.association().count() == 0
+    table.update("1", frame(spark, {"a": ""}).limit(0))
     assert table.association().count() == 0
 
 
