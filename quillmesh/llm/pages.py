@@ -25,30 +25,23 @@ _CLOSES_P = frozenset("p div ul ol dl table blockquote figure section article as
 _IMPLIED = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "td": ("td th", ("table", "tr")), "th": ("td th", ("table", "tr")), "tr": ("tr", ("table", "tbody")), "option": ("option", ("select",))}
 _CLASS = re.compile(r"class\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _META = re.compile(r"property\s*=\s*[\"']og:title[\"'][^>]*?content\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", re.I)
+_SUFFIX = re.compile(r"\s+[|–—-]\s+[^|–—-]+$")
 _TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
 
-# What notices, prompts and footers around a text say. A block is a notice if one of these stands at its start.
+# How calls to action, consent notices and imprints begin on any site. What else stands around the texts of a site is told by
+# where its sentences stand on other pages (see boilerplate), not by phrases.
 NOTICE_START = re.compile(
-    r"(?:share this|follow us|sign up (?:today|now|to|for)|join the (?:conversation|community)|log in to|want more\?|become a (?:patron|member)|take our|download our|get (?:the|our) (?:weekly|daily|monthly|newsletter)"
-    r"|subscribe|only this (?:mon|tues|wednes|thurs|fri|satur|sun)day:|like what you read|you have read \d|advertisement\b|sponsored|read more in|your privacy matters|this (?:web)?site uses? cookies|cookies help"
-    r"|do not sell or share|reject all|accept all|continue without agreeing|got it\b|you may change your mind|diese seite verwendet cookies|usamos cookies|nous utilisons des (?:traceurs|cookies)|utilizamos cookies|este site usa cookies"
-    r"|we and our \d|reply . quote . report|legal notice|©|copyright|archive hosted in|entries are written by members|create an account|all rights reserved|terms of use|cookie settings|imprint\b)", re.I,
-)
-# Phrases that make a block a notice wherever they stand in it; each needs the reader's device, account or consent, or the site's imprint.
-NOTICE_PARTS = (
-    "keep identifiers in your browser", "read data on your device", "use trackers and similar tools", "collect statistics about your visit", "combine device signals", "set cookies", "store small files on your device",
-    "legitimate interest", "preference centre", "withdraw consent", "your consent", "our cookie policy", "browsing data", "personal data", "data policy", "manage choices",
-    "licenses its text for", "corrections through the report form", "takes no responsibility for user uploads", "is not affiliated with", "trademarks belong to their owners", "all rights reserved", "images and counting",
-    "imprint and accessibility", "press room, jobs", "minutes ago.", "cookie settings.", "imprint and", "see the contribution rules", "site build",
+    r"(?:share (?:this|on)\b|follow us|sign up\b|subscribe|join (?:the|our|us)\b|log ?in\b|register\b|create an account|become a (?:member|patron|supporter)|download (?:the|our) app|get (?:the|our) (?:\w+ )?(?:newsletter|digest|app)"
+    r"|take (?:the|our) \S* ?survey|advertisement\b|sponsored\b|like what you read|want more\?|you have read \d+ of|(?:this|our) (?:web)?site uses cookies|cookies? (?:help|policy|settings|notice)|your privacy|accept (?:all|cookies)|reject all"
+    r"|©|copyright|all rights reserved|terms of (?:use|service)|privacy policy|legal notice)", re.I,
 )
+#: By how much less the last block of a page counts than its first: what closes a page is less likely its text than what opens it.
+LATE = 0.6
 _META_BLOCK = re.compile(r"^(?:@?[\w.-]+|\d{1,2}\.? [^\W\d]+(?: \d{4})?|[^\W\d]+ \d{1,2}(?:, \d{4})?|\d+ (?:minutes?|hours?|days?|weeks?|months?|years?) ago|(?:[^.!?·|»]{1,24}[·|»] ?){1,12}[^.!?·|»]{0,24})$")
 
 
 def is_notice(text: str) -> bool:
-    if NOTICE_START.match(text):
-        return True
-    text = text.lower()
-    return any(p in text for p in NOTICE_PARTS)
+    return bool(NOTICE_START.match(text))
 
 
 def is_aside(text: str) -> bool:
@@ -152,7 +145,7 @@ class Page:
         return p
 
     def _signature(self, node: int) -> tuple:
-        return self.tags[node], tuple(self.tags[c] for c in self.children[node][:6])
+        return self.tags[node], tuple(self.tags[c] for c in self.children[node])
 
     def _score(self) -> None:
         n, tags, parent = len(self.tags), self.tags, self.parent
@@ -180,11 +173,12 @@ class Page:
         for e in range(1, n):
             inherited[e] = min(penalty[e], inherited[parent[e]]) if e not in holds_h1 else penalty[e]
         self.penalty = inherited
-        for (text, e, ld), aside in zip(self.blocks, self.aside, strict=True):
+        last = max(1, len(self.blocks) - 1)
+        for at, ((text, e, ld), aside) in enumerate(zip(self.blocks, self.aside, strict=True)):
             t = tags[e]
             if aside:
                 continue
-            p = (1.0 + text.count(",") + min(len(text) / 100.0, 3.0)) * (1.0 - ld) * inherited[e]
+            p = (1.0 + text.count(",") + min(len(text) / 100.0, 3.0)) * (1.0 - ld) * inherited[e] * (1.0 - LATE * at / last)
             x = e if direct[e] > 1 or t in ("td", "body", "main", "article", "section") else parent[e]
             for share in (1.0, 0.5, 0.25):
                 if not x:
@@ -213,13 +207,25 @@ class Page:
                 elif tags[s] not in _SILENT and points[s] >= 0.3 * most and points[s] > 2.0 and tags[s] == tags[best]:
                     self.main.add(s)
 
-    def main_blocks(self) -> list[tuple[str, str, float, bool]]:
-        """(text, tag, link share, aside) of the blocks of the main part; discounted elements aren't part of it."""
-        inside = [False] * len(self.tags)
-        for e in range(1, len(self.tags)):
-            inside[e] = e in self.main or inside[self.parent[e]]
-        return [(text, self.tags[e], ld, aside) for (text, e, ld), aside in zip(self.blocks, self.aside, strict=True) if inside[e] and self.penalty[e] == 1.0]
+    def titles(self) -> set[str]:
+        """The first heading and the page's title without the site's name, as far as they have text."""
+        heading = next((t for t, e, _ in self.blocks if e == self.h1), "") if self.h1 else ""
+        return {heading, _SUFFIX.sub("", self.title)} - {""}
 
     def main_text(self) -> list[str]:
         """The running text of the main part: without headings, labels, notices, dates, names and buttons."""
-        return [text for text, _, ld, aside in self.main_blocks() if not aside and not (ld > 0.95 and text.count(" ") < 3)]
+        return self.running_text()[0]
+
+    def running_text(self) -> tuple[list[str], list[str]]:
+        """(main text, text of the blocks outside of the main part, without headings, labels and buttons)."""
+        inside = [False] * len(self.tags)
+        for e in range(1, len(self.tags)):
+            inside[e] = e in self.main or inside[self.parent[e]]
+        main, outside = [], []
+        for (text, e, ld), aside in zip(self.blocks, self.aside, strict=True):
+            if inside[e] and self.penalty[e] == 1.0:
+                if not aside and not (ld > 0.95 and text.count(" ") < 3):
+                    main.append(text)
+            elif self.tags[e] not in _SILENT:
+                outside.append(text)
+        return main, outside

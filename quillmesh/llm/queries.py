@@ -55,7 +55,8 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return residue.residue_pages(read(spark, sf_dir, "doms"))
+    """The pages that show residue."""
+    return residue.residue_pages(read(spark, sf_dir, "doms")).select("dom_id")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

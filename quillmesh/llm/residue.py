@@ -1,10 +1,15 @@
 """Template residue and error-page text: pages in whose content or title such a text stands.
 
-The sentences of each page's main part and titles, with digits masked, are the units. Units that a fixed pattern trusts to be residue,
-and titles that contradict the page's own metadata, are labelled. From the labelled units the label spreads to near-duplicates: units
-that share at least 0.8 of their five-word shingles - round by round, until the connected components of the labelled units hold no
-unlabelled one. A prefix filter on the rarest shingles finds every such pair. SimHash tables alone (bands, at most three bits) would
-miss most near-duplicates of the length of a sentence.
+The sentences of each page's main part and titles, with digits masked, are the units. A short list of standard phrases and the pages'
+own metadata give the trusted labels. From the labelled units the label spreads, round by round, through the connected components of two
+kinds of links, until no component holds both:
+
+* near-duplicate units. Partitioned SimHash tables hold the four parts of each unit's SimHash; a labelled unit probes them with its own
+  parts and all that differ in one bit, so that every unit within MOST_BITS bits is met. Pairs within them whose texts share 0.8 of
+  their five-word shingles are linked. A short sentence of which one word differs is often further away than that, so what the tables
+  don't bring together is looked for by shared shingles, which misses no pair of that similarity.
+* units that stand together. A page that shows a labelled unit and hardly anything else is an error page as a whole, so what else stands
+  on it is part of the message - if it stands on several such pages and on few others.
 """
 
 from __future__ import annotations
@@ -18,15 +23,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh import session
-from quillmesh.llm.clusters import prefixes
 from quillmesh.llm.pages import Page
-from quillmesh.llm.residue_patterns import sentences, trusted
+from quillmesh.llm.residue_patterns import is_latin, sentences, trusted
 from quillmesh.operators.frequency import join_frequencies
 from quillmesh.session import Workspace
 
-BITS, BANDS, MOST_BITS, SHINGLE, LEAST_SIMILARITY = 64, 4, 3, 5, 0.8
+BITS, BANDS, MOST_BITS, SHINGLE, LEAST_SIMILARITY = 64, 4, 7, 5, 0.8
+#: A page with so many words or fewer in all its units shows hardly anything but a message.
+BARE_WORDS = 40
+#: What stands together with labelled units has to do so on so many different bare pages, and on that share of all its different pages.
+TOGETHER_PAGES, TOGETHER_SHARE = 2, 0.5
+#: How a unit came to its label, in the order in which they are tried.
+STAGES = ("pattern", "metadata", "simhash", "shingles", "together")
 _DIGITS = re.compile(r"\d[\d,.]*")
-_SUFFIX = re.compile(r"\s+[|–—-]\s+[^|–—-]+$")
 
 
 def masked(text: str) -> str:
@@ -34,114 +43,127 @@ def masked(text: str) -> str:
     return " ".join(_DIGITS.sub("0", text.lower()).split())
 
 
-def page_units(html: str) -> dict[str, bool]:
-    """unit -> trusted to be residue. Titles count as residue if a pattern says so or if the page's metadata name another title."""
+def page_units(html: str) -> dict[str, tuple[bool, bool, bool]]:
+    """unit -> (trusted as a message or filler phrase, trusted for what it is itself: Latin filler or an open placeholder, trusted by the page's
+    metadata: they name another title). Only the first kind says something about texts that are like it."""
     page = Page(html)
-    units: dict[str, bool] = {}
-
-    def add(text: str, sure: bool) -> None:
-        u = masked(text)
-        if u:
-            units[u] = units.get(u, False) or sure
-
-    heading = next((t for t, e, _ in page.blocks if e == page.h1), "") if page.h1 else ""
-    for title in {heading, _SUFFIX.sub("", page.title)} - {""}:
-        named = page.og_title and title == page.og_title
-        if not named:
-            add(title, bool(page.og_title) or bool(trusted(title)))
+    units: dict[str, tuple[bool, bool, bool]] = {}
+
+    def add(text: str, sure: str, other: bool) -> None:
+        if u := masked(text):
+            own = sure == "placeholder" or (sure == "filler" and is_latin(text))
+            units[u] = tuple(map(max, units.get(u, (False, False, False)), (bool(sure) and not own, own, other)))
+
+    for title in page.titles():
+        if not page.og_title or title != page.og_title:
+            add(title, trusted(title), bool(page.og_title))
     texts = page.main_text() if page.main else [t for (t, e, _), aside in zip(page.blocks, page.aside, strict=True) if not aside and page.penalty[e] == 1.0]
     for block in texts:
         for s in sentences(block):
-            add(s, bool(trusted(s)))
+            add(s, trusted(s), False)
     return units
 
 
 def simhash(texts: list[str]) -> np.ndarray:
-    """A 64-bit SimHash of each text's words, as signed integers."""
+    """A 64-bit SimHash of each text's words, as signed integers: a bit is set if more than half of the words' hashes have it."""
     import xxhash
 
-    bits: dict[str, np.ndarray] = {}
-    out = np.empty(len(texts), dtype=np.int64)
-    weights = (np.uint64(1) << np.arange(BITS, dtype=np.uint64)).astype(np.uint64)
-    for n, text in enumerate(texts):
-        rows = []
-        for w in text.split():
-            b = bits.get(w)
-            if b is None:
-                h = np.frombuffer(xxhash.xxh64_digest(w), dtype=np.uint8)
-                b = np.unpackbits(h).astype(np.int16) * 2 - 1
-                if len(bits) < 200_000:
-                    bits[w] = b
-            rows.append(b)
-        total = np.add.reduce(rows) if rows else np.zeros(BITS, dtype=np.int16)
-        out[n] = weights[total > 0].sum(dtype=np.uint64).astype(np.int64)
-    return out
+    out = np.zeros(len(texts), dtype=np.uint64)
+    lists = [t.split() for t in texts]
+    filled = [n for n, w in enumerate(lists) if w]
+    if filled:
+        hashes = np.array([xxhash.xxh64_intdigest(w) for n in filled for w in lists[n]], dtype=np.uint64)
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        sizes = np.array([len(lists[n]) for n in filled])
+        total = np.add.reduceat(bits.astype(np.int32), np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
+        out[filled] = np.packbits(2 * total > sizes[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
+    return out.view(np.int64)
 
 
 def _shingles(text: Column) -> Column:
-    """The distinct five-word shingles of a text; of a shorter one the whole."""
+    """Hashes of the distinct five-word shingles of a text; of a shorter one of the whole."""
     w = F.split(text, " ")
-    many = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (SHINGLE - 1), F.lit(1))), lambda i: F.array_join(F.slice(w, i, SHINGLE), " "))
-    return F.array_distinct(many)
-
-
-def _spread(signed: DataFrame, keys: DataFrame, close: Column, work: Workspace) -> DataFrame:
-    """uid of the units that labelled ones lead to. signed: uid, text, labelled, sim; keys: uid, band - near-duplicates share a band;
-    close: whether sim and from_sim allow a pair. In each round only the newly labelled units look for unlabelled ones in their bands,
-    so the pairs are those of residue texts, not of all texts that are alike."""
-    # Texts stay behind until the few pairs are found that share a band and are close.
-    keyed = keys.join(signed.select("uid", "sim", "labelled"), "uid")
-    rest = work.write(keyed.where("not labelled").select("uid", "sim", "band"), "rest")
-    texts = signed.select("uid", "text")
-    frontier, found, n = signed.where("labelled").select("uid", "sim"), [], 0
-    while True:
-        seek = keys.join(frontier, "uid").select(F.col("uid").alias("from_uid"), F.col("sim").alias("from_sim"), "band")
-        near = rest.join(seek, "band").where(close).select("uid", "sim", "from_uid").distinct()
-        for f in found:
-            near = near.join(f.select("uid"), "uid", "left_anti")
-        n += 1
-        near = work.write(near, f"pairs{n}")
-        both = near.join(texts, "uid").join(texts.select(F.col("uid").alias("from_uid"), F.col("text").alias("from_text")), "from_uid")
-        a, b = _shingles(F.col("text")), _shingles(F.col("from_text"))
-        shared = F.size(F.array_intersect(a, b))
-        alike = both.where(shared >= F.lit(LEAST_SIMILARITY) * (F.size(a) + F.size(b) - shared)).select("uid", "sim").distinct()
-        frontier = work.write(alike, f"near{n}")
-        if not frontier.head(1):
-            break
-        found.append(frontier)
-    out = signed.where("false").select("uid")
-    for f in found:
-        out = out.unionByName(f.select("uid"))
-    return out
+    many = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (SHINGLE - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, SHINGLE), " ")))
+    return F.array_sort(F.array_distinct(many))
 
 
-def spread_exactly(units: DataFrame, work: Workspace) -> DataFrame:
-    """uid of the units that labelled ones lead to over near-duplicates, none of which is missed: units has uid, text, labelled."""
-    hashes = F.array_distinct(F.transform(_shingles(F.col("text")), lambda s: F.xxhash64(s)))
-    signed = work.write(units.select("uid", "text", "labelled", hashes.alias("tokens")).withColumn("sim", F.size("tokens").cast("bigint")), "signed")
-    keys = work.write(prefixes(signed.select(F.col("uid").alias("node"), "tokens"), work, LEAST_SIMILARITY).select(F.col("node").alias("uid"), F.col("token").alias("band")), "keys")
-    # Sets of sizes further apart can't share that much.
-    close = F.least("sim", "from_sim") >= F.lit(LEAST_SIMILARITY) * F.greatest("sim", "from_sim") - F.lit(1e-9)
-    return _spread(signed.drop("tokens"), keys, close, work)
-
-
-def spread(units: DataFrame, work: Workspace) -> DataFrame:
-    """What spread_exactly gives, as far as SimHash tables find it: pairs of more than MOST_BITS bits are missed. residue_pages doesn't
-    use it."""
+def signed(units: DataFrame, work: Workspace) -> DataFrame:
+    """units (uid, text and more) with sim and tokens, written."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"uid": b["uid"], "text": b["text"], "labelled": b["labelled"], "sim": simhash(b["text"].tolist())})
+            yield pd.DataFrame({"uid": b["uid"], "sim": simhash(b["text"].tolist())})
+
+    sims = units.select("uid", "text").mapInPandas(sign, "uid bigint, sim bigint")
+    return work.write(units.withColumn("tokens", _shingles(F.col("text"))).join(work.write(sims, "sims"), "uid"), "signed")
 
-    signed = work.write(units.select("uid", "text", "labelled").mapInPandas(sign, "uid bigint, text string, labelled boolean, sim bigint"), "signed")
+
+def _alike(near: DataFrame, units: DataFrame) -> DataFrame:
+    """uid of the pairs (uid, from_uid) whose texts share enough shingles."""
+    both = near.distinct().join(units.select("uid", "tokens"), "uid").join(units.select(F.col("uid").alias("from_uid"), F.col("tokens").alias("from_tokens")), "from_uid")
+    shared = F.size(F.array_intersect("tokens", "from_tokens"))
+    return both.where(shared >= F.lit(LEAST_SIMILARITY) * (F.size("tokens") + F.size("from_tokens") - shared)).select("uid").distinct()
+
+
+def near_by_simhash(units: DataFrame, rest: DataFrame, frontier: DataFrame) -> DataFrame:
+    """uid of rest (uid) near to a unit of the frontier (uid), as far as the SimHash tables bring them together. units: as signed gives them."""
     width = BITS // BANDS
-    bands = F.array(*(F.concat(F.lit(f"{k}:"), F.shiftrightunsigned(F.col("sim"), k * width).bitwiseAND(F.lit((1 << width) - 1)).cast("string")) for k in range(BANDS)))
-    near = F.bit_count(F.col("sim").bitwiseXOR(F.col("from_sim"))) <= MOST_BITS
-    return _spread(signed, signed.select("uid", F.explode(bands).alias("band")), near, work)
+    part = lambda k: F.shiftrightunsigned(F.col("sim"), k * width).bitwiseAND(F.lit((1 << width) - 1))
+    band = lambda k, p: F.struct(F.lit(k).alias("k"), p.alias("part"))
+    own = F.array(*(band(k, part(k)) for k in range(BANDS)))
+    # Of MOST_BITS differing bits one of the parts has one or none.
+    probes = F.array(*(band(k, part(k).bitwiseXOR(F.lit(flip).cast("bigint"))) for k in range(BANDS) for flip in (0, *(1 << b for b in range(width)))))
+    keyed = lambda who, parts: units.join(who, "uid", "left_semi").select("uid", "sim", F.explode(parts).alias("band"))
+    seek = keyed(frontier, probes).select(F.col("uid").alias("from_uid"), F.col("sim").alias("from_sim"), "band")
+    near = keyed(rest, own).join(seek, "band").where(F.bit_count(F.col("sim").bitwiseXOR(F.col("from_sim"))) <= MOST_BITS)
+    return _alike(near.select("uid", "from_uid"), units)
+
+
+def near_by_shingles(units: DataFrame, rest: DataFrame, frontier: DataFrame) -> DataFrame:
+    """uid of rest near to a unit of the frontier; none is missed: of two texts that share 0.8 of their shingles the one has all but a
+    fifth of the other's, so it has one of any that many of them and one more."""
+    size = F.size("tokens")
+    picks = F.slice("tokens", F.lit(1), (size - F.ceil(size * F.lit(LEAST_SIMILARITY) - F.lit(1e-9)) + 1).cast("int"))
+    seek = units.join(frontier, "uid", "left_semi").select(F.col("uid").alias("from_uid"), size.alias("from_size"), F.explode(picks).alias("token"))
+    have = units.join(rest, "uid", "left_semi").select("uid", size.alias("size"), F.explode("tokens").alias("token"))
+    near = have.join(seek, "token").where(F.least("size", "from_size") >= F.lit(LEAST_SIMILARITY) * F.greatest("size", "from_size") - F.lit(1e-9))
+    return _alike(near.select("uid", "from_uid"), units)
+
+
+def together(rows: DataFrame, units: DataFrame, labels: DataFrame) -> DataFrame:
+    """uid of unlabelled units that stand on bare pages together with labelled ones (uid). rows: key, uid, sure (trusted for that page only), bare, page; units: uid, pages."""
+    shown = rows.where("bare").join(labels.select("uid").withColumn("hit", F.lit(True)), "uid", "left")
+    pages = shown.groupBy("key").agg(F.max(F.coalesce("hit", F.lit(False)) | F.col("sure")).alias("hit")).where("hit").select("key")
+    beside = shown.where("hit is null and not sure").join(pages, "key", "left_semi").groupBy("uid").agg(F.count_distinct("page").alias("n"))
+    found = beside.where(F.col("n") >= TOGETHER_PAGES).join(units.select("uid", "pages"), "uid")
+    return found.where(F.col("n") >= TOGETHER_SHARE * F.col("pages")).select("uid")
+
+
+def spread(units: DataFrame, rows: DataFrame, work: Workspace) -> DataFrame:
+    """uid, stage of all units that carry the label in the end. units: uid, text, pages, labelled; rows: as together has them; both
+    written. In each round only the newly labelled units look for near-duplicates, so the pairs are those of residue, not of all texts that
+    are alike."""
+    units = signed(units, work)
+    stage = lambda df, name: df.select("uid", F.lit(name).alias("stage"))
+    frontier = work.write(stage(units.where("labelled"), "pattern"), "label0")
+    labels, n = frontier, 0
+    while True:
+        for name in ("simhash", "shingles", "together"):
+            rest = units.join(labels, "uid", "left_anti").select("uid")
+            by = {"simhash": near_by_simhash, "shingles": near_by_shingles}
+            new = by[name](units, rest, frontier.select("uid")) if name in by else together(rows, units, labels)
+            n += 1
+            new = work.write(stage(new, name), f"label{n}")
+            labels = labels.unionByName(new)
+            # Near-duplicates by SimHash look on within the round; what stands together is looked for with all of them.
+            frontier = frontier.unionByName(new) if name == "simhash" else new if name == "shingles" else frontier.unionByName(new)
+        if not frontier.head(1):
+            return labels
 
 
 def residue_pages(doms: DataFrame, key: str = "dom_id", html: str = "html") -> DataFrame:
-    """The distinct keys of the pages that show residue where their content or title should be.
+    """key, stage of the pages that show residue where their content or title should be, each key once; stage is the first of STAGES by
+    which a unit of the page was labelled.
 
     Null and empty pages and null keys give none; rows that repeat a key are one page. Text within noscript, notices around the main
     part and sentences that quote or discuss such texts aren't residue.
@@ -150,18 +172,24 @@ def residue_pages(doms: DataFrame, key: str = "dom_id", html: str = "html") -> D
     work = Workspace(spark, "residue")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(k, u, sure) for k, h in zip(batch[key], batch["html"], strict=True) if h for u, sure in page_units(h).items()]
-            yield pd.DataFrame(rows, columns=[key, "text", "sure"])
+        import xxhash
 
-    pages = doms.where(f"`{html}` is not null and `{key}` is not null").select(key, F.col(f"`{html}`").alias("html"))
-    rows = session.spread(pages).mapInPandas(parse, f"{key} {doms.schema[key].dataType.simpleString()}, text string, sure boolean")
+        for batch in batches:
+            out = []
+            for k, h in zip(batch["key"], batch["html"], strict=True):
+                units = page_units(h) if h else {}
+                bare = sum(u.count(" ") + 1 for u in units) <= BARE_WORDS
+                page = xxhash.xxh64_intdigest("\n".join(sorted(units))) >> 1
+                out += [(k, u, pattern, own, meta, bare, page) for u, (pattern, own, meta) in units.items()]
+            yield pd.DataFrame(out, columns=["key", "text", "pattern", "own", "meta", "bare", "page"])
+
+    pages = doms.where(f"`{html}` is not null and `{key}` is not null").select(F.col(f"`{key}`").alias("key"), F.col(f"`{html}`").alias("html"))
+    rows = session.spread(pages).mapInPandas(parse, f"key {doms.schema[key].dataType.simpleString()}, text string, pattern boolean, own boolean, meta boolean, bare boolean, page bigint")
     rows = work.write(rows.withColumn("uid", F.xxhash64("text")), "rows")
-    units = rows.groupBy("uid").agg(F.first("text").alias("text"), F.max("sure").alias("labelled"), F.count(F.lit(1)).alias("n"))
+    units = rows.groupBy("uid").agg(F.first("text").alias("text"), F.max("pattern").alias("labelled"), F.count_distinct("page").alias("pages"), F.count(F.lit(1)).alias("n"))
     units = work.write(units, "units")
-    reached = spread_exactly(units, work)
-    more = work.write(units.join(reached, "uid", "left_semi").select("uid", "n"), "reached")
-    # A unit that is labelled by one page's metadata only labels the others through its text, like any near-duplicate.
-    trusted_units = units.where("labelled").select("uid", "n").unionByName(more)
-    hit = join_frequencies(rows.select(key, "uid"), work.write(trusted_units, "labelled"), "uid", "n")
-    return hit.select(key).distinct()
+    labels = work.write(spread(units, rows.select("key", "uid", (F.col("meta") | F.col("own")).alias("sure"), "bare", "page"), work).join(units.select("uid", "n"), "uid"), "labels")
+    hit = join_frequencies(rows.select("key", "uid"), labels, "uid", "n").select("key", "stage")
+    hit = hit.unionByName(rows.where("own or meta").select("key", F.when(F.col("own"), F.lit("pattern")).otherwise(F.lit("metadata")).alias("stage")))
+    first = F.min(F.array_position(F.array(*map(F.lit, STAGES)), F.col("stage")))
+    return hit.groupBy("key").agg(first.alias("s")).select(F.col("key").alias(key), F.element_at(F.array(*map(F.lit, STAGES)), F.col("s").cast("int")).alias("stage"))

@@ -1,44 +1,39 @@
-"""What error pages, script and browser-check notices, filler and unfilled placeholders say.
+"""A short list of what error pages, script and browser checks, filler and unfilled placeholders say on any site.
 
-Sentences that begin with one of these are trusted as residue; near-duplicates of such sentences are found by the operator. The
-patterns are anchored, so a sentence that talks about such a text or quotes it isn't one.
+These are the standard phrases: the reasons of the HTTP statuses, the requests for scripts in five languages, the usual filler and the
+syntax of template languages. Sentences that begin with one of them are trusted as residue; all else is found from these by the
+operator. The patterns are anchored, so a sentence that talks about such a text or quotes it isn't one.
 """
 
 from __future__ import annotations
 
 import re
 
-ERRORS = (
-    r"(?:error|http)\s*[:#]?\s*[1-5]\d\d\b", r"[1-5]\d\d (?:error|not found|forbidden|unauthorized|bad request|bad gateway|gateway time-?out|service unavailable|internal server error|too many requests)", r"error(?: code)?[:!.]?$",
-    r"(?:404|page|entry|file|site) not found", r"not found[.!]?$", r"the (?:page|entry|file|link) you (?:were looking for|requested|asked for|followed)", r"this (?:page|entry|content|site) (?:does not exist|could not be found|is not available|is no longer|cannot be displayed)",
-    r"(?:it|this) may have been (?:moved|deleted|removed)", r"(?:internal server|fatal|database|gateway|unexpected|application) error", r"(?:bad gateway|service (?:temporarily )?unavailable|access denied|forbidden)\b", r"(?:oops|whoops|sorry|hmm)[!.,:]?(?:$| )(?!.*\b(?:memes?|joke|caption|thread)\b)",
-    r"something (?:went wrong|broke)", r"well, this is awkward", r"that did not work", r"(?:we|you) (?:could not load|do not have permission|are down for)", r"(?:the|our) server took too long", r"nothing lives at this address", r"the link you followed",
-    r"an internal fault", r"our cache node", r"this request was blocked", r"the archive is read-only during", r"too many requests", r"please slow down", r"your session has expired", r"reload the page to continue", r"database connection failed", r"the upstream server", r"upstream connect error",
-    r"we are down for", r"retry in \d", r"incident opened at", r"request id\b", r"(?:ray|trace|reference):? ?\d", r"the staff have been paged", r"our \w+ team has been notified", r"go back to the previous page", r"try again later", r"contact the editors if this keeps", r"search the archive instead",
-    r"connection (?:timed out|refused|reset)", r"seite nicht gefunden", r"der angeforderte eintrag", r"ein fehler ist aufgetreten", r"no hemos encontrado", r"página no encontrada", r"ha ocurrido un error", r"page (?:introuvable|non trouvée)", r"une erreur", r"página não encontrada", r"ocorreu um erro", r"zugriff verweigert",
+STATUS = (
+    r"(?:error|http)\s*[:#]?\s*[1-5]\d\d\b", r"(?:0|[1-5]\d\d) (?:error|not found|forbidden|unauthorized|bad request|bad gateway|gateway time-?out|service unavailable|internal server error|too many requests)\b", r"(?:internal server|fatal|unexpected|application|gateway) error\b",
+    r"(?:bad gateway|service (?:temporarily )?unavailable|access denied|forbidden|too many requests|gateway time-?out)\b", r"(?:the )?(?:page|file|url|site|entry) (?:you (?:were looking for|requested) )?(?:was |could |can )?not (?:be )?found\b", r"not found[.!]?$", r"error(?: code)?[:!.]?(?: \d+)?$",
+    r"(?:page introuvable|seite nicht gefunden|página no encontrada|página não encontrada)\b",
 )
 SCRIPTS = (
-    r"(?:please |bitte |veuillez |por favor,? )?(?:enable|activate|turn on|aktivieren sie|activer|active|activa|active|ative|habilite|habilita) (?:java|browser )?scripts?(?:ing)?\b", r"java ?script (?:is|must be) (?:required|disabled|enabled|needed)", r"your browser (?:either |does not|is not)", r"this (?:app|page|site) (?:works best with|needs|requires) (?:java)?scripts?",
-    r"you need a modern browser", r"(?:[\w' ]{1,40}) (?:cannot start without javascript|needs scripts to run|relies on client-side code|is rendered in the browser, and scripting is off|requires javascript)", r"turn them on in your browser", r"change your settings and refresh", r"disable your blocker", r"then press reload", r"loading app shell",
-    r"loading(?:…|\.\.\.)", r"if nothing happens, allow", r"checking your browser", r"this will take up to \d", r"(?:please )?(?:verify|confirm|prove) (?:that )?you are (?:not a robot|human)", r"just a moment", r"one moment,? please", r"attention required",
+    r"(?:please |bitte |veuillez |por favor,? )?(?:enable|activate|turn on|aktivieren sie|activer|active|activa|ative|habilite|habilita) java ?script\b", r"[\w' ]{1,40}\b(?:requires|needs|without) java ?script\b", r"java ?script (?:is|must be) (?:required|disabled|enabled|needed)\b", r"checking your browser", r"(?:please )?(?:verify|confirm|prove) (?:that )?you are (?:not a robot|human)\b", r"just a moment\b",
 )
-FILLER = (
-    r"content coming soon", r"coming soon[.!]?$", r"sample text\b", r"placeholder (?:paragraph|text)\b", r"your (?:paragraph )?text here", r"your (?:paragraph|heading|title) (?:text )?here", r"this is a test entry", r"asdf\b", r"blah blah", r"text text text", r"dummy (?:copy|text)", r"lorem ipsum dolor", r"under construction[.!]?$", r"(?:insert|enter|type) (?:your )?(?:text|title|name|description) here",
-)
-#: Words of Latin filler; a text of four or more words of which most are these is filler.
+FILLER = (r"(?:content )?coming soon[.!]?$", r"content coming soon\b", r"(?:sample|placeholder|dummy|filler) (?:text|copy|paragraph|content)\b", r"your (?:text|title|heading|paragraph)\b.{0,12}\bhere\b", r"lorem ipsum\b", r"blah blah\b", r"asdf\b", r"under construction[.!]?$")
+#: Words of the usual Latin filler; a text of four or more words of which most are these is filler.
 LATIN = frozenset("lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim minim veniam quis nostrud vestibulum porttitor lacinia egestas fringilla facilisi curabitur mauris nulla pretium ornare vitae pellentesque".split())
+#: Gaps of template languages, format strings and hand-made templates.
 PLACEHOLDER = re.compile(
     r"\{\{[^{}]*\}\}|\{%[^{}]*%\}|<%[^<>]*%>|\$!?\{[^{}]*\}|#\{[^{}]*\}|\{(?:\d+|[a-z_.]+)\}|%\(\w+\)[sd]|%\d+\$[sd]|%[A-Z][A-Z_]{2,}%|@@[A-Z_]+@@|__[A-Z][A-Z_]*__|\bXX_\w+_XX\b"
     r"|\[\[?[A-Z][A-Z ]*(?:TEXT|NAME|TITLE|HERE|DESCRIPTION)[A-Z ]*\]\]?|<(?:insert|your|enter)\b[^<>]*>|\bTODO: ?\w+(?: \w+)?"
 )
-#: One of these among the four words before a placeholder, or after it, speaks of the placeholder or quotes it.
+#: One of these words anywhere before a placeholder, or one of those right after it, speaks of the placeholder or quotes it.
 MENTION_BEFORE = re.compile(r"\b(?:jok\w+|wrote|writes?|prints?|printed|literally|reads?|called|phrase|captioned|quot\w+|named|spell\w*|parod\w+|typed|text)\b|[\"\u201c\u201d\u00ab\u00bb]$", re.I)
 MENTION_AFTER = re.compile(r"^(?:(?:is|was|are|means|stands|became)\b|[\"\u201c\u201d\u00ab\u00bb]|\W*(?:on purpose|where a|as a joke|is the true))", re.I)
 
-_NOTICE = re.compile(rf"(?:{'|'.join(ERRORS + SCRIPTS)})", re.I)
-_FILLER = re.compile(rf"(?:{'|'.join(FILLER)})", re.I)
+NOTICES = STATUS + SCRIPTS
+_NOTICE, _FILLER = re.compile(rf"(?:{'|'.join(NOTICES)})", re.I), re.compile(rf"(?:{'|'.join(FILLER)})", re.I)
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 _WORD = re.compile(r"[^\W\d_]+")
+_GAP = re.compile(r"[{<%@\[#$]|__|XX_|TODO")
 
 
 def sentences(text: str) -> list[str]:
@@ -52,9 +47,10 @@ def is_latin(sentence: str) -> bool:
 
 def has_open_placeholder(sentence: str) -> bool:
     """Whether a placeholder stands in the sentence as a gap, not as its subject matter."""
+    if not _GAP.search(sentence):
+        return False
     for m in PLACEHOLDER.finditer(sentence):
-        before, after = " ".join(sentence[: m.start()].split()[-4:]), sentence[m.end() :].strip()
-        if not MENTION_BEFORE.search(before) and not MENTION_AFTER.match(after):
+        if not MENTION_BEFORE.search(sentence[: m.start()].rstrip()) and not MENTION_AFTER.match(sentence[m.end() :].strip()):
             return True
     return False
 

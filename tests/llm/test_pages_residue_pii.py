@@ -64,21 +64,21 @@ def test_residue_pages(spark):
     assert residue.residue_pages(df.limit(0)).count() == 0 and boilerplate.main_bodies(df.limit(0)).count() == 0
 
 
-def test_labels_spread_to_near_duplicates_only(spark):
-    base = "the archive cannot show this entry at the moment because the server that holds it is being moved to another room and nobody knows when it will be back in service for all of our readers so please be patient with us and come again at another time of the day when things may well have settled down again we are sorry for that".split()
-    near, nearer = [*base[:-1], "this"], [*base[:-2], "all", "this"]
-    texts = [" ".join(base), " ".join(near), " ".join(nearer), "something else that is quite different from all of the others in this test"]
-    df = spark.createDataFrame([(i, t, i == 0) for i, t in enumerate(texts)], "uid bigint, text string, labelled boolean")
-    hashes = residue.simhash(texts)
-    bits = lambda a, b: bin((int(a) ^ int(b)) & (2**64 - 1)).count("1")
-    got = {r.uid for r in residue.spread(df, Workspace(spark, "s")).collect()}
-    want = {1} if bits(hashes[0], hashes[1]) <= 3 else set()
-    want |= {2} if bits(hashes[0], hashes[2]) <= 3 or (1 in want and bits(hashes[1], hashes[2]) <= 3) else set()
-    assert got == want and 3 not in got
-
-
-def test_labels_reach_all_that_brute_force_reaches(spark):
-    rng = np.random.default_rng(1)
+def test_what_other_pages_show_outside_of_their_main_part_is_left_out(spark):
+    """A notice that one layout puts into the main part is known by the footers of other pages; a sentence that more pages tell stays."""
+    notice, told = "Our desk welcomes all corrections, in any form, at any time of the day.", "It was seen again in the year 2011, in a box, on a hill."
+    plain = page(f"<div><h1>Cat</h1><p>{A}</p><p>{told}</p><p>{notice}</p></div>")
+    other = page(f"<main><h1>Dog</h1><p>{B}</p></main><footer><p>{notice}</p><p>{told.replace('2011', '2015')}</p></footer>")
+    telling = page(f"<main><h1>Owl</h1><p>{A}</p><p>{told}</p></main>")
+    rows = [(0, plain)] + [(i, other) for i in range(1, 6)] + [(i, telling) for i in range(6, 12)]
+    got = {r.dom_id: r.blocks for r in boilerplate.main_bodies(spark.createDataFrame(rows, "dom_id bigint, html string")).collect()}
+    assert got[0] == [A, told] and got[1] == [B] and got[6] == [A, told] and boilerplate.main_body(plain) == [A, told, notice]
+    few = {r.dom_id: r.blocks for r in boilerplate.main_bodies(spark.createDataFrame(rows[:4], "dom_id bigint, html string")).collect()}
+    assert few[0] == [A, told, notice]
+
+
+def near_sets(seed=1):
+    rng = np.random.default_rng(seed)
     words = [f"w{i}" for i in range(400)]
     texts = []
     for length in (3, 5, 9, 13, 16, 20, 30, 40, 60):
@@ -88,28 +88,66 @@ def test_labels_reach_all_that_brute_force_reaches(spark):
             for cut in (1, 2, 3):
                 texts += [" ".join([*base[:-cut], *rng.choice(words, cut)]), " ".join(base[cut:]), " ".join([*base, *rng.choice(words, cut)])]
     texts = list(dict.fromkeys([*texts, "blah " * 5 + "blah", "blah " * 8 + "blah"]))
-    labelled = {i for i in range(len(texts)) if i % 10 == 0} | {len(texts) - 2}
     shingles = [{" ".join(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} for w in (t.split() for t in texts)]
     alike = lambda i, j: len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])
+    return texts, alike
+
+
+def test_near_duplicates_against_brute_force(spark):
+    texts, alike = near_sets()
+    labelled = {i for i in range(len(texts)) if i % 10 == 0} | {len(texts) - 2}
+    hashes = residue.simhash(texts)
+    bits = lambda i, j: bin((int(hashes[i]) ^ int(hashes[j])) & (2**64 - 1)).count("1")
+    rest = [i for i in range(len(texts)) if i not in labelled]
+    df = residue.signed(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "uid bigint, text string"), Workspace(spark, "s"))
+    ids = lambda xs: spark.createDataFrame([(i,) for i in xs], "uid bigint")
+    near = {r.uid for r in residue.near_by_simhash(df, ids(rest), ids(labelled)).collect()}
+    assert near == {i for i in rest if any(bits(i, j) <= residue.MOST_BITS and alike(i, j) for j in labelled)} and len(near) > 20
+    exact = {r.uid for r in residue.near_by_shingles(df, ids(rest), ids(labelled)).collect()}
+    assert exact == {i for i in rest if any(alike(i, j) for j in labelled)} and near < exact
+
+
+def test_simhash_is_the_majority_of_bits():
+    import xxhash
+
+    for text in ("", "one", "one two three", "a b c d a a"):
+        bits = [sum((xxhash.xxh64_intdigest(w) >> k & 1) * 2 - 1 for w in text.split()) > 0 for k in range(64)]
+        assert int(residue.simhash([text, "x"])[0]) & (2**64 - 1) == sum(b << k for k, b in enumerate(bits))
+
+
+def test_labels_spread_to_the_end_of_their_components(spark):
+    texts, alike = near_sets(2)
+    labelled = {i for i in range(len(texts)) if i % 10 == 0}
     want, new = set(labelled), set(labelled)
     while new:
         new = {j for j in range(len(texts)) if j not in want and any(alike(i, j) for i in new)}
         want |= new
-    df = spark.createDataFrame([(i, t, i in labelled) for i, t in enumerate(texts)], "uid bigint, text string, labelled boolean")
-    got = {r.uid for r in residue.spread_exactly(df, Workspace(spark, "s")).collect()}
-    assert got == want - labelled and len(got) > 50
+    work = Workspace(spark, "s")
+    units = work.write(spark.createDataFrame([(i, t, 1, i in labelled) for i, t in enumerate(texts)], "uid bigint, text string, pages bigint, labelled boolean"), "u")
+    rows = work.write(spark.createDataFrame([(i, i, False, False, i) for i in range(len(texts))], "key bigint, uid bigint, sure boolean, bare boolean, page bigint"), "r")
+    got = {r.uid: r.stage for r in residue.spread(units, rows, work).collect()}
+    assert set(got) == want and {i for i, s in got.items() if s == "pattern"} == labelled and {"simhash", "shingles"} < set(got.values())
+
+
+def test_what_stands_together_with_messages_is_labelled(spark):
+    first, second, fact = "Page not found.", "The owls took it away to their nest.", "An owl sleeps by day."
+    bare = lambda *texts: page("<div><h1>Cat</h1>" + "".join(f"<p>{t}</p>" for t in texts) + "</div>")
+    rows = [(1, bare(first, second)), (2, bare(second, first)), (3, bare(first, second, "Ask us why.")), (4, bare(second)), (5, bare(first, fact)), (6, bare(first, fact, "x y z")), (8, page(f"<div><h1>Owl</h1><p>{A}</p><p>{B}</p><p>{second}</p></div>", "Owl", "Owl"))]
+    rows += [(20 + i, page(f"<div><h1>Owl</h1><p>{fact}</p><p>{'It flew on and on. ' * i}{A}</p></div>", "Owl", "Owl")) for i in range(1, 6)]
+    got = {r.dom_id: r.stage for r in residue.residue_pages(spark.createDataFrame(rows, "dom_id bigint, html string")).collect()}
+    assert got == {1: "pattern", 2: "pattern", 3: "pattern", 4: "together", 5: "pattern", 6: "pattern", 8: "together"}
 
 
 def test_pages_with_slightly_changed_residue_are_found(spark):
-    fixed = "Please enable JavaScript to view this page because the archive draws each of its entries within your browser and cannot show any of them to you without it"
+    fixed = "Please enable JavaScript to view this page because the archive draws each of its entries within your browser and cannot show any of them to you now"
     changed = "You must first " + fixed[7:].lower()
     assert trusted(fixed) and not trusted(changed)
     rows = [(1, page(f"<div><h1>Cat</h1><p>{fixed}</p></div>")), (2, page(f"<div><h1>Cat</h1><p>{changed}</p></div>")), (3, LAYOUTS["plain"])]
-    got = {r.dom_id for r in residue.residue_pages(spark.createDataFrame(rows, "dom_id bigint, html string")).collect()}
-    assert got == {1, 2}
+    got = {r.dom_id: r.stage for r in residue.residue_pages(spark.createDataFrame(rows, "dom_id bigint, html string")).collect()}
+    assert set(got) == {1, 2} and got[1] == "pattern" and got[2] in ("simhash", "shingles")
 
 
-@pytest.mark.parametrize(("text", "kind"), [("Error 502: bad gateway.", "notice"), ("Seite nicht gefunden.", "notice"), ("asdf asdf", "filler"), ("It was posted by [YOUR TEXT HERE] in May.", "placeholder"), ("Editors wrote {0} on purpose.", ""), ("A normal sentence about an error 404 page.", "")])
+@pytest.mark.parametrize(("text", "kind"), [("Error 502: bad gateway.", "notice"), ("Seite nicht gefunden.", "notice"), ("asdf asdf", "filler"), ("It was posted by [YOUR TEXT HERE] in May.", "placeholder"), ("Editors wrote {0} on purpose.", ""), ("A normal sentence about an error 404 page.", ""), ("This app requires JavaScript to run.", "notice"), ("Nobody knows what this is.", "")])
 def test_trusted(text, kind):
     assert trusted(text) == kind
 
