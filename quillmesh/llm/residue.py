@@ -88,46 +88,45 @@ def _shingles(text: Column) -> Column:
 
 
 def signed(units: DataFrame, work: Workspace) -> DataFrame:
-    """units (uid, text and more) with sim and tokens, written."""
+    """units (uid, text, pages, labelled) with sim and tokens in place of the text, written."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"uid": b["uid"], "sim": simhash(b["text"].tolist())})
+            yield b.assign(sim=simhash(b["text"].tolist()))
 
-    sims = units.select("uid", "text").mapInPandas(sign, "uid bigint, sim bigint")
-    return work.write(units.withColumn("tokens", _shingles(F.col("text"))).join(work.write(sims, "sims"), "uid"), "signed")
+    told = units.select("uid", "text", "pages", "labelled").mapInPandas(sign, "uid bigint, text string, pages bigint, labelled boolean, sim bigint")
+    return work.write(told.withColumn("tokens", _shingles(F.col("text"))).drop("text"), "signed")
 
 
-def _alike(near: DataFrame, units: DataFrame) -> DataFrame:
-    """uid of the pairs (uid, from_uid) whose texts share enough shingles."""
-    both = near.distinct().join(units.select("uid", "tokens"), "uid").join(units.select(F.col("uid").alias("from_uid"), F.col("tokens").alias("from_tokens")), "from_uid")
+def _alike(near: DataFrame, rest: DataFrame, front: DataFrame) -> DataFrame:
+    """uid of the pairs (uid, from_uid; written) whose texts share enough shingles."""
+    both = near.join(front.select(F.col("uid").alias("from_uid"), F.col("tokens").alias("from_tokens")), "from_uid").join(rest.select("uid", "tokens"), "uid")
     shared = F.size(F.array_intersect("tokens", "from_tokens"))
     return both.where(shared >= F.lit(LEAST_SIMILARITY) * (F.size("tokens") + F.size("from_tokens") - shared)).select("uid").distinct()
 
 
-def near_by_simhash(units: DataFrame, rest: DataFrame, frontier: DataFrame) -> DataFrame:
-    """uid of rest (uid) near to a unit of the frontier (uid), as far as the SimHash tables bring them together. units: as signed gives them."""
+def near_by_simhash(rest: DataFrame, front: DataFrame, work: Workspace, name: str = "near") -> DataFrame:
+    """uid of rest near to a unit of front (both uid, sim, tokens), as far as the SimHash tables bring them together. front, the newly labelled
+    units, is a written table: while it is small the planner broadcasts it, and rest isn't shuffled."""
     width = BITS // BANDS
     part = lambda k: F.shiftrightunsigned(F.col("sim"), k * width).bitwiseAND(F.lit((1 << width) - 1))
     band = lambda k, p: F.struct(F.lit(k).alias("k"), p.alias("part"))
     own = F.array(*(band(k, part(k)) for k in range(BANDS)))
     # Of MOST_BITS differing bits one of the parts has one or none.
     probes = F.array(*(band(k, part(k).bitwiseXOR(F.lit(flip).cast("bigint"))) for k in range(BANDS) for flip in (0, *(1 << b for b in range(width)))))
-    keyed = lambda who, parts: units.join(who, "uid", "left_semi").select("uid", "sim", F.explode(parts).alias("band"))
-    seek = keyed(frontier, probes).select(F.col("uid").alias("from_uid"), F.col("sim").alias("from_sim"), "band")
-    near = keyed(rest, own).join(seek, "band").where(F.bit_count(F.col("sim").bitwiseXOR(F.col("from_sim"))) <= MOST_BITS)
-    return _alike(near.select("uid", "from_uid"), units)
+    seek = front.select(F.col("uid").alias("from_uid"), F.col("sim").alias("from_sim"), F.explode(probes).alias("band"))
+    near = rest.select("uid", "sim", F.explode(own).alias("band")).join(seek, "band").where(F.bit_count(F.col("sim").bitwiseXOR(F.col("from_sim"))) <= MOST_BITS)
+    return _alike(work.write(near.select("uid", "from_uid").distinct(), name), rest, front)
 
 
-def near_by_shingles(units: DataFrame, rest: DataFrame, frontier: DataFrame) -> DataFrame:
-    """uid of rest near to a unit of the frontier; none is missed: of two texts that share 0.8 of their shingles the one has all but a
-    fifth of the other's, so it has one of any that many of them and one more."""
+def near_by_shingles(rest: DataFrame, front: DataFrame, work: Workspace, name: str = "near") -> DataFrame:
+    """uid of rest near to a unit of front; none is missed: of two texts that share 0.8 of their shingles the one has all but a fifth of the
+    other's, so it has one of any that many of them and one more."""
     size = F.size("tokens")
     picks = F.slice("tokens", F.lit(1), (size - F.ceil(size * F.lit(LEAST_SIMILARITY) - F.lit(1e-9)) + 1).cast("int"))
-    seek = units.join(frontier, "uid", "left_semi").select(F.col("uid").alias("from_uid"), size.alias("from_size"), F.explode(picks).alias("token"))
-    have = units.join(rest, "uid", "left_semi").select("uid", size.alias("size"), F.explode("tokens").alias("token"))
-    near = have.join(seek, "token").where(F.least("size", "from_size") >= F.lit(LEAST_SIMILARITY) * F.greatest("size", "from_size") - F.lit(1e-9))
-    return _alike(near.select("uid", "from_uid"), units)
+    seek = front.select(F.col("uid").alias("from_uid"), size.alias("from_size"), F.explode(picks).alias("token"))
+    near = rest.select("uid", size.alias("size"), F.explode("tokens").alias("token")).join(seek, "token").where(F.least("size", "from_size") >= F.lit(LEAST_SIMILARITY) * F.greatest("size", "from_size") - F.lit(1e-9))
+    return _alike(work.write(near.select("uid", "from_uid").distinct(), name), rest, front)
 
 
 def together(rows: DataFrame, units: DataFrame, labels: DataFrame) -> DataFrame:
@@ -145,19 +144,23 @@ def spread(units: DataFrame, rows: DataFrame, work: Workspace) -> DataFrame:
     are alike."""
     units = signed(units, work)
     stage = lambda df, name: df.select("uid", F.lit(name).alias("stage"))
-    frontier = work.write(stage(units.where("labelled"), "pattern"), "label0")
-    labels, n = frontier, 0
+    labels = work.write(stage(units.where("labelled"), "pattern"), "label0")
+    front, n = work.write(units.where("labelled"), "front0"), 0
     while True:
-        for name in ("simhash", "shingles", "together"):
-            rest = units.join(labels, "uid", "left_anti").select("uid")
-            by = {"simhash": near_by_simhash, "shingles": near_by_shingles}
-            new = by[name](units, rest, frontier.select("uid")) if name in by else together(rows, units, labels)
-            n += 1
-            new = work.write(stage(new, name), f"label{n}")
-            labels = labels.unionByName(new)
-            # Near-duplicates by SimHash look on within the round; what stands together is looked for with all of them.
-            frontier = frontier.unionByName(new) if name == "simhash" else new if name == "shingles" else frontier.unionByName(new)
-        if not frontier.head(1):
+        n += 1
+        rest = units.join(labels, "uid", "left_anti")
+        new = work.write(stage(near_by_simhash(rest, front, work, f"close{n}"), "simhash"), f"simhash{n}")
+        # What the tables haven't brought together, of the newly labelled units and of those that the tables have just found.
+        labels = labels.unionByName(new)
+        front = work.write(front.unionByName(units.join(new, "uid", "left_semi")), f"wider{n}")
+        rest = units.join(labels, "uid", "left_anti")
+        more = work.write(stage(near_by_shingles(rest, front, work, f"near{n}"), "shingles"), f"shingles{n}")
+        labels = labels.unionByName(more)
+        beside = work.write(stage(together(rows, units, labels), "together"), f"together{n}")
+        labels = labels.unionByName(beside)
+        # The next round seeks from what this one has found; what the tables have found has sought by shingles only.
+        front = work.write(units.join(new.unionByName(more).unionByName(beside), "uid", "left_semi"), f"front{n}")
+        if not front.head(1):
             return labels
 
 
@@ -186,8 +189,9 @@ def residue_pages(doms: DataFrame, key: str = "dom_id", html: str = "html") -> D
     pages = doms.where(f"`{html}` is not null and `{key}` is not null").select(F.col(f"`{key}`").alias("key"), F.col(f"`{html}`").alias("html"))
     rows = session.spread(pages).mapInPandas(parse, f"key {doms.schema[key].dataType.simpleString()}, text string, pattern boolean, own boolean, meta boolean, bare boolean, page bigint")
     rows = work.write(rows.withColumn("uid", F.xxhash64("text")), "rows")
-    units = rows.groupBy("uid").agg(F.first("text").alias("text"), F.max("pattern").alias("labelled"), F.count_distinct("page").alias("pages"), F.count(F.lit(1)).alias("n"))
-    units = work.write(units, "units")
+    texts = rows.groupBy("uid").agg(F.first("text").alias("text"), F.max("pattern").alias("labelled"), F.count(F.lit(1)).alias("n"))
+    pages = rows.select("uid", "page").distinct().groupBy("uid").agg(F.count(F.lit(1)).alias("pages"))
+    units = work.write(texts.join(pages, "uid"), "units")
     labels = work.write(spread(units, rows.select("key", "uid", (F.col("meta") | F.col("own")).alias("sure"), "bare", "page"), work).join(units.select("uid", "n"), "uid"), "labels")
     hit = join_frequencies(rows.select("key", "uid"), labels, "uid", "n").select("key", "stage")
     hit = hit.unionByName(rows.where("own or meta").select("key", F.when(F.col("own"), F.lit("pattern")).otherwise(F.lit("metadata")).alias("stage")))

@@ -99,11 +99,11 @@ def test_near_duplicates_against_brute_force(spark):
     hashes = residue.simhash(texts)
     bits = lambda i, j: bin((int(hashes[i]) ^ int(hashes[j])) & (2**64 - 1)).count("1")
     rest = [i for i in range(len(texts)) if i not in labelled]
-    df = residue.signed(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "uid bigint, text string"), Workspace(spark, "s"))
-    ids = lambda xs: spark.createDataFrame([(i,) for i in xs], "uid bigint")
-    near = {r.uid for r in residue.near_by_simhash(df, ids(rest), ids(labelled)).collect()}
+    work = Workspace(spark, "s")
+    df = residue.signed(spark.createDataFrame([(i, t, 1, i in labelled) for i, t in enumerate(texts)], "uid bigint, text string, pages bigint, labelled boolean"), work)
+    near = {r.uid for r in residue.near_by_simhash(df.where("not labelled"), df.where("labelled"), work).collect()}
     assert near == {i for i in rest if any(bits(i, j) <= residue.MOST_BITS and alike(i, j) for j in labelled)} and len(near) > 20
-    exact = {r.uid for r in residue.near_by_shingles(df, ids(rest), ids(labelled)).collect()}
+    exact = {r.uid for r in residue.near_by_shingles(df.where("not labelled"), df.where("labelled"), work, "exact").collect()}
     assert exact == {i for i in rest if any(alike(i, j) for j in labelled)} and near < exact
 
 
@@ -133,7 +133,7 @@ def test_what_stands_together_with_messages_is_labelled(spark):
     first, second, fact = "Page not found.", "The owls took it away to their nest.", "An owl sleeps by day."
     bare = lambda *texts: page("<div><h1>Cat</h1>" + "".join(f"<p>{t}</p>" for t in texts) + "</div>")
     rows = [(1, bare(first, second)), (2, bare(second, first)), (3, bare(first, second, "Ask us why.")), (4, bare(second)), (5, bare(first, fact)), (6, bare(first, fact, "x y z")), (8, page(f"<div><h1>Owl</h1><p>{A}</p><p>{B}</p><p>{second}</p></div>", "Owl", "Owl"))]
-    rows += [(20 + i, page(f"<div><h1>Owl</h1><p>{fact}</p><p>{'It flew on and on. ' * i}{A}</p></div>", "Owl", "Owl")) for i in range(1, 6)]
+    rows += [(20 + i, page(f"<div><h1>Owl</h1><p>{fact}</p><p>It flew {'on and on ' * i} away. {A}</p></div>", "Owl", "Owl")) for i in range(1, 6)]
     got = {r.dom_id: r.stage for r in residue.residue_pages(spark.createDataFrame(rows, "dom_id bigint, html string")).collect()}
     assert got == {1: "pattern", 2: "pattern", 3: "pattern", 4: "together", 5: "pattern", 6: "pattern", 8: "together"}
 
