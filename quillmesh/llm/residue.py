@@ -19,7 +19,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh import session
@@ -64,38 +65,70 @@ def page_units(html: str) -> dict[str, tuple[bool, bool, bool]]:
     return units
 
 
-def simhash(texts: list[str]) -> np.ndarray:
-    """A 64-bit SimHash of each text's words, as signed integers: a bit is set if more than half of the words' hashes have it."""
+def _word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words of all texts one after another, where each text begins and the last ends)."""
     import xxhash
 
-    out = np.zeros(len(texts), dtype=np.uint64)
-    lists = [t.split() for t in texts]
-    filled = [n for n, w in enumerate(lists) if w]
-    if filled:
-        hashes = np.array([xxhash.xxh64_intdigest(w) for n in filled for w in lists[n]], dtype=np.uint64)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        sizes = np.array([len(lists[n]) for n in filled])
-        total = np.add.reduceat(bits.astype(np.int32), np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
-        out[filled] = np.packbits(2 * total > sizes[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
-    return out.view(np.int64)
+    digest, hashes, ends = xxhash.xxh64_intdigest, [], [0]
+    for t in texts:
+        hashes += map(digest, t.split())
+        ends.append(len(hashes))
+    return np.array(hashes, dtype=np.uint64), np.array(ends)
 
 
-def _shingles(text: Column) -> Column:
-    """Hashes of the distinct five-word shingles of a text; of a shorter one of the whole."""
-    w = F.split(text, " ")
-    many = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (SHINGLE - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(w, i, SHINGLE), " ")))
-    return F.array_sort(F.array_distinct(many))
+def simhash(texts: list[str]) -> np.ndarray:
+    """A 64-bit SimHash of each text's words, as signed integers: a bit is set if more than half of the words' hashes have it."""
+    return _simhash(*_word_hashes(texts))
+
+
+#: The bits of a byte as eight counters of one byte each.
+_LANES = np.array([sum(1 << (8 * k) for k in range(8) if b >> k & 1) for b in range(256)], dtype=np.uint64)
+
+
+def _simhash(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    sizes = np.diff(ends)
+    total = np.zeros((len(sizes), BITS), dtype=np.int32)
+    if len(hashes):
+        # Eight counters are added at once; they hold 255 words, so longer texts are added in parts.
+        parts = -(-sizes // 255)
+        text = np.repeat(np.arange(len(sizes)), parts)
+        first = np.cumsum(parts) - parts
+        begin = ends[text] + 255 * (np.arange(len(text)) - first[text])
+        counted = np.add.reduceat(_LANES[hashes.view(np.uint8).reshape(-1, 8)], begin, axis=0).view(np.uint8).astype(np.int32)
+        total[sizes > 0] = np.add.reduceat(counted, first[sizes > 0], axis=0)
+    return np.packbits(2 * total > sizes[:, None], axis=1, bitorder="little").view(np.int64).ravel()
+
+
+def _shingles(hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted distinct hashes of the five-word shingles of each text, of a shorter text the whole, one text after another; where each text
+    begins and the last ends). A shingle's hash is a polynomial of its words' hashes; a text without words has none."""
+    sizes = np.diff(ends)
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    left = np.repeat(ends[1:], sizes) - np.arange(len(hashes))  # words from each word on to the end of its text
+    value, step = hashes.copy(), np.uint64(0x9E3779B97F4A7C15)
+    for k in range(1, SHINGLE):
+        within = left > k
+        value[within] = value[within] * step + hashes[np.flatnonzero(within) + k]
+    starts = (left >= SHINGLE) | (np.arange(len(hashes)) == ends[text]) if len(hashes) else np.zeros(0, bool)
+    signed, owner = value[starts].view(np.int64), text[starts]
+    order = np.lexsort((signed, owner))
+    signed, owner = signed[order], owner[order]
+    first = np.ones(len(signed), bool)
+    first[1:] = (signed[1:] != signed[:-1]) | (owner[1:] != owner[:-1])
+    return signed[first], np.concatenate([[0], np.cumsum(np.bincount(owner[first], minlength=len(sizes)))])
 
 
 def signed(units: DataFrame, work: Workspace) -> DataFrame:
-    """units (uid, text, pages, labelled) with sim and tokens in place of the text, written."""
+    """units (uid, text, pages, labelled) with sim and tokens, the hashes of the shingles, in place of the text; written."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.assign(sim=simhash(b["text"].tolist()))
+            words = _word_hashes(b.column("text").to_pylist())
+            values, ends = _shingles(*words)
+            tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("pages"), b.column("labelled"), pa.array(_simhash(*words), pa.int64()), tokens], ["uid", "pages", "labelled", "sim", "tokens"])
 
-    told = units.select("uid", "text", "pages", "labelled").mapInPandas(sign, "uid bigint, text string, pages bigint, labelled boolean, sim bigint")
-    return work.write(told.withColumn("tokens", _shingles(F.col("text"))).drop("text"), "signed")
+    return work.write(units.select("uid", "text", "pages", "labelled").mapInArrow(sign, "uid bigint, pages bigint, labelled boolean, sim bigint, tokens array<bigint>"), "signed")
 
 
 def _alike(near: DataFrame, rest: DataFrame, front: DataFrame) -> DataFrame:
