@@ -1,9 +1,10 @@
 """Personal information inside free text: found by candidate boosting, replaced by typed placeholders.
 
 Patterns propose overlapping spans of high recall. Statistics over all documents - how often a word stands in lower case, how often a
-word begins a name after a cue such as "credit:" - and the format and context of a span are its features. Boosted trees, trained on
-a bounded sample whose rows are labelled by the cues, score each span; calibrated thresholds, one for each kind, select. The cue of
-half the labelled names is hidden in training, so that names without a cue are found by what they are made of.
+word begins a name after a label such as "Dr." or "contact:" - and the format and context of a span are its features. Boosted trees,
+trained on a bounded sample, score each span; calibrated thresholds, one for each kind, select. Rows of the sample are labelled by checks of
+their format and by such labels; the label before half the rows is hidden in training, so that what has none is found by what it is
+made of.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillmesh.llm.boosting import BoostedTrees
-from quillmesh.llm.pii_candidates import CUES, DECOYS, KINDS, NAME_CUE, Lexicon, candidates, lookups, name_pairs, words_of
+from quillmesh.llm.pii_candidates import CUES, DECOYS, KINDS, NAME_CUE, Lexicon, Sketch, candidates, checked, lookups, name_pairs, spans, words_of
 from quillmesh.operators.frequency import frequencies, join_frequencies
 from quillmesh.session import Workspace, spread
 
@@ -56,22 +57,47 @@ def statistics(texts: DataFrame, work: Workspace) -> DataFrame:
     total = total.where((F.col("n") >= LEAST_COUNT) & (F.col("hits") > 0)).withColumn("rate", F.col("hits") / F.col("n"))
     entry = F.concat(F.when(F.col("what") == "family", "f").otherwise("w"), F.col("word"))
     of = lambda what: F.max(F.when(F.col("what") == what, F.col("rate"))).alias(what)
-    return work.write(total.where("what <> 'given' or rate >= 0.05").groupBy(entry.alias("entry")).agg(of("given"), of("common"), of("family")), "statistics")
+    return work.write(total.where("what <> 'given' or rate >= 0.01").groupBy(entry.alias("entry")).agg(of("given"), of("common"), of("family")), "statistics")
+
+
+def sketch_of(stats: DataFrame) -> Sketch:
+    """The entries of given names as a Bloom filter of one megabyte, however many they are."""
+    # Buckets of 4,096 bytes are numbered from 1, and so are the places in them.
+    at = F.pmod(F.xxhash64("entry"), F.lit(Sketch.BITS)) + 1
+    maps = stats.where("given is not null").select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    bits = bytearray(Sketch.BYTES)
+    for r in maps.collect():  # 256 rows at most
+        bits[(r["b"] - 1) * 4096 : r["b"] * 4096] = bytes(r["bits"])
+    return Sketch(bytes(bits))
+
+
+FOUND = "array<struct<kind:string,s:int,e:int,first:string,last:string,turned:boolean>>"
 
 
 def with_statistics(texts: DataFrame, stats: DataFrame, work: Workspace) -> DataFrame:
-    """texts (row, text and others) with lex: the statistics of what its own text looks up. The lexicons stay a table: however many
-    words all documents have, a row brings those of its own text only."""
+    """texts (row, text and others) with found, the spans that may be candidates, and lex, the statistics of what these take. The statistics stay a
+    table: however many words all documents have, a row brings those of its own spans only."""
+    shared = texts.sparkSession.sparkContext.broadcast(sketch_of(stats))
+    others = [f for f in texts.schema if f.name != "text"]
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        given = shared.value
         for batch in batches:
-            rows = [(r, e) for r, t in zip(batch["row"], batch["text"], strict=True) if t for e in lookups(t)]
-            yield pd.DataFrame(rows, columns=["row", "entry"])
-
-    asked = work.write(spread(texts.select("row", "text")).mapInPandas(look, "row bigint, entry string"), "asked")
+            found = [spans(t, given) if t else [] for t in batch["text"]]
+            asked = [list(lookups(t, f)) if t else [] for t, f in zip(batch["text"], found, strict=True)]
+            named = [[dict(zip(("kind", "s", "e", "first", "last", "turned"), x, strict=True)) for x in f] for f in found]
+            yield batch.assign(found=named, asked=asked)
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in others), f"text string, found {FOUND}, asked array<string>"])
+    told = work.write(spread(texts.select(*(f.name for f in others), "text")).mapInPandas(look, schema), "found")
+    asked = told.select("row", F.explode("asked").alias("entry"))
     used = work.write(frequencies(asked, "entry", "n").join(stats, "entry"), "used")
-    found = join_frequencies(asked, used, "entry", "n").groupBy("row").agg(F.collect_list(F.struct("entry", "given", "common", "family")).alias("lex"))
-    return work.write(texts.join(found, "row", "left"), "texts")
+    lex = join_frequencies(asked, used, "entry", "n").groupBy("row").agg(F.collect_list(F.struct("entry", "given", "common", "family")).alias("lex"))
+    return work.write(told.drop("asked").join(lex, "row", "left"), "texts")
+
+
+def _spans(found) -> list[tuple]:
+    return [(x["kind"], x["s"], x["e"], x["first"], x["last"], x["turned"]) for x in (found if found is not None else ())]
 
 
 def lexicon(lex: list | None) -> Lexicon:
@@ -85,16 +111,18 @@ def lexicon(lex: list | None) -> Lexicon:
     return Lexicon(given, family, common)
 
 
-def label(kind: str, text: str, start: int, features: list[float], lex: Lexicon) -> int:
-    """1 or 0 where a cue says so, else -1."""
+def label(kind: str, text: str, start: int, end: int, features: list[float], lex: Lexicon) -> int:
+    """1 or 0 where the form of a candidate or what stands before it says so, else -1."""
     if kind == "person_name":
         if features[NAME_CUE]:
             return 1 if features[2] < 0.5 else -1
-        return 0 if features[0] < 0.05 else -1
+        return 0 if features[0] < 0.01 else -1
     before = text[max(0, start - 64) : start]
     if CUES[kind].search(before):
         return 1
-    return 0 if DECOYS.search(before) or any(CUES[k].search(before) for k in ("phone", "id_number") if k != kind) else -1
+    if DECOYS.search(before) or any(CUES[k].search(before) for k in ("phone", "id_number") if k != kind):
+        return 0
+    return checked(kind, text[start:end], text[end : end + 16])
 
 
 def train(documents: DataFrame, training_documents: int = TRAINING_DOCUMENTS) -> dict[str, BoostedTrees | bool | None]:
@@ -106,15 +134,15 @@ def train(documents: DataFrame, training_documents: int = TRAINING_DOCUMENTS) ->
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text, own in zip(batch["text"], batch["lex"], strict=True):
+            for text, own, found in zip(batch["text"], batch["lex"], batch["found"], strict=True):
                 lex = lexicon(own)
-                for kind, s, _, x in candidates(text or "", lex):
-                    y = label(kind, text, s, x, lex)
+                for kind, s, e, x in candidates(text or "", lex, _spans(found)):
+                    y = label(kind, text, s, e, x, lex)
                     if y >= 0:
                         out.append((kind, y, x))
             yield pd.DataFrame(out, columns=["kind", "y", "x"])
 
-    table = spread(chosen.select("text", "lex")).mapInPandas(rows, "kind string, y int, x array<double>").toPandas()
+    table = spread(chosen.select("text", "lex", "found")).mapInPandas(rows, "kind string, y int, x array<double>").toPandas()
     models: dict[str, BoostedTrees | bool | None] = {}
     for kind in KINDS:
         own = table[table["kind"] == kind].reset_index(drop=True)
@@ -131,13 +159,13 @@ def train(documents: DataFrame, training_documents: int = TRAINING_DOCUMENTS) ->
     return models
 
 
-def select(texts: list[str], lexicons: list[Lexicon], models: dict[str, BoostedTrees | bool | None]) -> list[list[tuple[str, int, int]]]:
+def select(texts: list[str], lexicons: list[Lexicon], models: dict[str, BoostedTrees | bool | None], found: list[list[tuple]] | None = None) -> list[list[tuple[str, int, int]]]:
     """(kind, start, end) of the spans to redact in each text, in their order: of overlapping ones the most probable, then the longest.
     The spans of all texts are scored together, kind by kind."""
     by_kind: dict[str, list[tuple[int, int, int]]] = {k: [] for k in KINDS}
     features: dict[str, list[list[float]]] = {k: [] for k in KINDS}
     for n, (text, lex) in enumerate(zip(texts, lexicons, strict=True)):
-        for kind, s, e, x in candidates(text, lex):
+        for kind, s, e, x in candidates(text, lex, None if found is None else found[n]):
             by_kind[kind].append((n, s, e))
             features[kind].append(x)
     chosen: list[list[tuple[float, int, int, str]]] = [[] for _ in texts]
@@ -183,7 +211,7 @@ def find(documents: DataFrame, key: str = "doc_id", training_documents: int = TR
         for batch in batches:
             spans, redacted = [], []
             texts = batch["text"].tolist()
-            for text, own in zip(texts, select([t or "" for t in texts], [lexicon(x) for x in batch["lex"]], models), strict=True):
+            for text, own in zip(texts, select([t or "" for t in texts], [lexicon(x) for x in batch["lex"]], models, [_spans(x) for x in batch["found"]]), strict=True):
                 if text is None:
                     spans.append([])
                     redacted.append(None)
@@ -197,4 +225,4 @@ def find(documents: DataFrame, key: str = "doc_id", training_documents: int = TR
             yield pd.DataFrame({key: batch[key], "text": batch["text"], "spans": spans, "redacted": redacted})
 
     kind = documents.schema[key].dataType.simpleString()
-    return spread(texts.select(key, "text", "lex")).mapInPandas(apply, f"{key} {kind}, text string, spans array<struct<kind:string,start:int,found_text:string>>, redacted string")
+    return spread(texts.select(key, "text", "lex", "found")).mapInPandas(apply, f"{key} {kind}, text string, spans array<struct<kind:string,start:int,found_text:string>>, redacted string")

@@ -35,18 +35,40 @@ PATTERNS = {
     ],
 }
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+_TAIL = re.compile(r"([^\W\d_]+)\W*$")
 _INITIAL = re.compile(r" [^\W\d_]\. ?")
 
-#: What stands right before personal data of each kind; it labels rows of the training sample, and is a feature that training often hides.
+# Labels that forms, letters and signatures put before personal data, in the languages of the corpus. They label rows of the
+# training sample, and are a feature that training often hides.
 CUES = {
-    "email": re.compile(r"(?:contact:?|cc:?|;|reach [^\n@]{0,50} at|source to|escríbeme a|écrivez à|mande para|bitte an|e-?mail:?|mail to|<|schreib\w* an)\s*$", re.I),
-    "phone": re.compile(r"(?:phone:?|tel\.?:?|telefon:?|call|number is|text me on|whatsapp:?|llama al|appelez le|pelo|mobile:?|handy:?|fax:?|ruf\w*)\s*$", re.I),
-    "id_number": re.compile(r"(?:id on file:?|passport(?: no\.?)?|security (?:no\.?|number)|insurance (?:no\.?|number)|licen[cs]e(?:/id)? (?:number|no\.?):?|documento|ausweisnummer|pièce d'identité|dni:?|ssn:?|identity (?:card|number))\s*$", re.I),
-    "address": re.compile(r"(?:address:?|lives at|living at|residing at|found at|form to|vive en|endereço|wohnhaft|adresse:?|/|[^\W\d_],)\s*$", re.I),
-    "person_name": re.compile(r"(?:credit:|reported by|filed by|real name is|ask for|issued to|nombre de|ausgestellt auf|stammt von|foto es de|photo de|kontakt:|contact:|can reach|arranged with|picture is|from:|fale com|\b(?:mr|mrs|ms|dr|prof)\.?|signed(?: by)?:?|-- ?)\s*$", re.I),
+    "email": re.compile(r"(?:e-?mail|mail to|write to|contact|cc|kontakt|contacto|contato|<)\s*:?\s*$", re.I),
+    "phone": re.compile(r"(?:(?:tele)?phone|telefon|tel[ée]fono|t[ée]l[ée]phone|tel|mobile|handy|fax|whatsapp|call|llama al|appelez le)\s*[.:]?:?\s*$", re.I),
+    "id_number": re.compile(r"(?:passport|licen[cs]e|security|insurance|identity|personal|ssn|dni|documento|ausweis(?:nummer)?|pièce d'identité)(?:/id)?(?: card)?(?: number| no\.?| nr\.?)?\s*:?\s*$", re.I),
+    "address": re.compile(r"(?:address|adresse|dirección|direccion|endereço|(?:lives?|living|resid(?:es|ing)) (?:at|in)|wohnhaft|vive en)\s*:?\s*$", re.I),
+    "person_name": re.compile(r"(?:\b(?:mr|mrs|ms|dr|prof)\.?|\b(?:name(?: is)?|named|contact|kontakt|contacto|credit|from|attn|signed(?: by)?|(?:reported|filed|written|taken|sent) by|ask for|speak to|issued to|ausgestellt auf|nombre de)\s*:?|-- ?)\s*$", re.I),
 }
-#: What stands right before things that look alike but are none.
-DECOYS = re.compile(r"(?:hash|no\.|post|build|version|text v?|covers|code|runs|score:?|views?|likes?|at|it|tag|#|asset|ping|ratio|from|of|in|by|over|than|drew|collected|received|gaining|among|hit|has|más de|über|plus de|mais de|erhielt|obtuvo|teve|avec)\s*$", re.I)
+#: What names a number as something else: a post, a version, a hash, a score.
+DECOYS = re.compile(r"(?:hash|build|version|post|score|code|tag|ratio|ping|no\.|nr\.|#)\s*:?\s*$", re.I)
+#: A count: a number, then white space and a word in lower case.
+_COUNTED = re.compile(r"\s[^\W\d_A-Z]*[a-zà-ÿ]+")
+
+
+def checked(kind: str, found: str, after: str) -> int:
+    """1 or 0 where the form of a candidate tells by itself whether it is what its kind says, else -1: a mail address with a proper domain, a
+    phone number with a country's prefix, an address with a postcode and a place in capitals; a bare number that counts the word after
+    it, an image's file name, a street or place whose words are all in lower case."""
+    if kind == "email":
+        domain = found.rpartition("@")[2]
+        return 0 if re.match(r"\d+x\.", domain) else 1 if re.fullmatch(r"[\w-]+(?:\.[\w-]+)*\.[a-z]{2,8}", domain, re.I) and "@" in found[1:] else -1
+    if kind == "phone":
+        return 1 if re.match(r"\+\d{1,3}[ .(-]", found) else 0 if found.isdigit() and _COUNTED.match(after) else -1
+    if kind == "id_number":
+        return 0 if found.isdigit() and _COUNTED.match(after) else -1
+    if kind == "address":
+        words = re.findall(r"[^\W\d_]{2,}", found)
+        capital = sum(w[0].isupper() for w in words)
+        return 0 if not capital else 1 if capital == len(words) and re.search(r"\b\d{4,5}\b", found) else -1
+    return -1
 
 
 @dataclass
@@ -63,15 +85,52 @@ def words_of(text: str) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), m[0]) for m in _WORD.finditer(text)]
 
 
-def lookups(text: str) -> set[str]:
-    """What candidates may look up for a text: w and a word or a part of one, for given and common; f and the last four letters of a
-    part, for family."""
+class Sketch:
+    """A Bloom filter of the entries that are given names, of a fixed number of bits: whatever is one passes, and of other words few do."""
+
+    BITS, BYTES = 1 << 23, 1 << 20
+
+    def __init__(self, bits: bytes):
+        self.bits = bits
+
+    @classmethod
+    def place(cls, word: str) -> int:
+        """The bit of a word: its entry's hash as the engine computes it."""
+        import xxhash
+
+        h = xxhash.xxh64_intdigest("w" + word, seed=42)
+        return (h - (1 << 64) if h >> 63 else h) % cls.BITS
+
+    def __contains__(self, word: str) -> bool:
+        k = self.place(word)
+        return bool(self.bits[k >> 3] >> (k & 7) & 1)
+
+
+def spans(text: str, given) -> list[tuple]:
+    """(kind, start, end, first word, second word, reversed) of all spans that may be candidates: those of the formats, and the name-shaped pairs
+    of words, in lower or upper case if the given word is in `given`."""
+    out: list[tuple] = []
+    digits, at = any(map(str.isdigit, text)), "@" in text or "\uff20" in text or " at " in text.lower() or "at" in text.lower()
+    for kind, patterns in PATTERNS.items():
+        if at if kind == "email" else digits:
+            out += [(kind, m.start(), m.end(), "", "", False) for p in patterns for m in p.finditer(text)]
+    out += [("person_name", *pair) for pair in name_pairs(text, given)]
+    return out
+
+
+def lookups(text: str, found: list[tuple]) -> set[str]:
+    """The entries of the statistics that the features of spans take: w and a word, f and the last four letters of a part of a family name."""
     out = set()
-    for m in _WORD.finditer(text):
-        w = m[0].lower()
-        parts = {w, *w.split("-"), *re.split("['’]", w), *re.split("['’-]", w)}
-        out.update("w" + x for x in parts)
-        out.update("f" + x[-4:] for x in w.split("-"))
+    for kind, s, e, first, last, _ in found:
+        if kind == "person_name":
+            f, l = first.lower(), last.lower()
+            parts = l.split("-")
+            out.update(("w" + f, "w" + l, *("w" + p for p in parts), *("f" + p[-4:] for p in parts)))
+            continue
+        if tail := _TAIL.search(text, max(0, s - 64), s):
+            out.add("w" + tail[1].lower())
+        if kind == "email":
+            out.add("w" + _SPLIT_AT.split(text[s:e], maxsplit=1)[0].lower())
     return out
 
 
@@ -128,7 +187,7 @@ def format_features(kind: str, text: str, s: int, e: int, lex: Lexicon) -> list[
     groups = re.findall(r"\d+", found)
     sizes = [len(g) for g in groups] or [0]
     letters = re.sub(r"[\W\d_]", "", found)
-    tail = re.search(r"([^\W\d_]+)\W*$", before)
+    tail = _TAIL.search(before)
     out = [
         float(bool(CUES[kind].search(before))), float(bool(DECOYS.search(before))), float(len(found)), float(sum(sizes)), float(len(sizes)), float(sizes[0]), float(max(sizes)), float(min(sizes)), float(sizes[-1]), float(found[:1] in "+("), float(found[:1] == "0"), float("." in found), float("-" in found), float("/" in found), float(" " in found), float(len(letters)), float(letters.isupper()), float(found[-1:].isalpha()),
         lex.common.get(tail[1].lower(), 0.0) if tail else 0.0, float(after[:1].isspace() and after[1:2].islower()), float(before[-2:] in ("/ ", ", ")),
@@ -139,11 +198,10 @@ def format_features(kind: str, text: str, s: int, e: int, lex: Lexicon) -> list[
     return out
 
 
-def candidates(text: str, lex: Lexicon):
-    """(kind, start, end, features) of all candidates; they may overlap."""
-    for kind, patterns in PATTERNS.items():
-        for p in patterns:
-            for m in p.finditer(text):
-                yield kind, m.start(), m.end(), format_features(kind, text, m.start(), m.end(), lex)
-    for s, e, first, last, turned in name_pairs(text, lex.given):
-        yield "person_name", s, e, name_features(text, s, e, first, last, turned, lex)
+def candidates(text: str, lex: Lexicon, found: list[tuple] | None = None):
+    """(kind, start, end, features) of all candidates; they may overlap. found: what spans gives with a superset of the given names."""
+    for kind, s, e, first, last, turned in spans(text, lex.given) if found is None else found:
+        if kind != "person_name":
+            yield kind, s, e, format_features(kind, text, s, e, lex)
+        elif found is None or _case(first) == 0 or first.lower() in lex.given:
+            yield kind, s, e, name_features(text, s, e, first, last, turned, lex)

@@ -247,3 +247,23 @@ def test_rare_words_keep_their_statistics_in_a_large_corpus(spark):
     for i in (0, 1):
         want = list(candidates(told[i], whole))
         assert want and list(candidates(told[i], pii.lexicon(rows[i]))) == want
+
+
+def test_sketch_holds_every_given_name(spark):
+    from quillmesh.llm.pii_candidates import Sketch
+
+    names = [f"name{i}" for i in range(3000)] + ["élodie", "a"]
+    stats = spark.createDataFrame([("w" + n, 1.0) for n in names] + [("wother", None)], "entry string, given double")
+    sketch = pii.sketch_of(stats)
+    assert all(n in sketch for n in names) and sum(f"no{i}" in sketch for i in range(3000)) < 30 and len(sketch.bits) == Sketch.BYTES
+    assert not any(f"x{i}" in pii.sketch_of(stats.limit(0)) for i in range(100))
+
+
+@pytest.mark.parametrize(
+    ("kind", "found", "after", "want"),
+    [("email", "ann@mail.example", " now", 1), ("email", "cat@2x.png", " was", 0), ("phone", "+33 1 99 00 89 29", ".", 1), ("phone", "28212317", " views", 0), ("phone", "28212317", " Views", -1), ("id_number", "X4007902", " was", -1), ("address", "12 Elm Road, Quenby 12345", "", 1), ("address", "12 long way, the", "", 0), ("person_name", "Ann Lee", "", -1)],
+)
+def test_checks_of_format(kind, found, after, want):
+    from quillmesh.llm.pii_candidates import checked
+
+    assert checked(kind, found, after) == want
