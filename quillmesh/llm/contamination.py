@@ -25,15 +25,17 @@ BROADCAST_SEEDS = 1_000_000
 
 
 def words(text: Column) -> Column:
-    """Words in lower case with letters and digits only; words without any are dropped. Null gives null."""
-    return F.filter(F.transform(F.split(F.lower(text), _SPACE), lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}]", "")), lambda w: w != "")
+    """Words in lower case with letters and digits only; words without any are dropped. Null gives null. What is neither white space nor
+    a letter nor a digit goes from the whole text at once."""
+    return F.filter(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\s\h\v\x1c-\x1f\x85]+", ""), _SPACE), lambda w: w != "")
 
 
 def windows(df: DataFrame, key: str, length: int) -> DataFrame:
-    """key, at, seed: a hash for each window of so many words of the column words; texts with fewer words give none."""
-    long_enough = df.where(F.size("words") >= length)
-    seeds = F.expr(f"transform(sequence(1, size(words) - {length - 1}), i -> xxhash64(array_join(slice(words, i, {length}), ' ')))")
-    return long_enough.select(key, F.posexplode(seeds).alias("at", "seed"))
+    """key, at, seed: a hash for each window of so many words of the column words, made of the words' hashes; texts with fewer words give
+    none."""
+    hashed = df.where(F.size("words") >= length).select(key, F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    seeds = F.expr(f"transform(sequence(1, size(h) - {length - 1}), i -> xxhash64(slice(h, i, {length})))")
+    return hashed.select(key, F.posexplode(seeds).alias("at", "seed"))
 
 
 def matches(passage: list[str], text: list[str], least: int, blocked_p: list[bool] | None = None, blocked_t: list[bool] | None = None) -> list[tuple[int, int, int]]:
@@ -113,8 +115,8 @@ def leaks(documents: DataFrame, items: DataFrame, least_words: int = 8, least_sh
     asked = work.write(items.where("item_id is not null").select("item_id", words(F.col("passage")).alias("words")).where(F.size("words") >= least_words), "items")
     asked = asked.withColumn("item_row", F.xxhash64("item_id", "words"))
     seeds = work.write(windows(asked.select("item_row", "words").distinct(), "item_row", least_words).withColumnRenamed("at", "item_at"), "seeds")
-    texts = spread(documents.where("doc_id is not null").select("doc_id", "text")).select("doc_id", words(F.col("text")).alias("words"))
-    own = windows(texts, "doc_id", least_words).select("doc_id", "seed")
+    texts = documents.where("doc_id is not null and text is not null").select("doc_id", "text")
+    own = windows(spread(texts).select("doc_id", words(F.col("text")).alias("words")), "doc_id", least_words).select("doc_id", "seed")
     n_seeds = seeds.count()
     if n_seeds <= BROADCAST_SEEDS:
         shared = own.join(F.broadcast(seeds), "seed")
@@ -129,7 +131,8 @@ def leaks(documents: DataFrame, items: DataFrame, least_words: int = 8, least_sh
     sizes = asked.select("item_row", "item_id", F.col("words").alias("passage")).distinct()
     hits = hits.join(sizes, "item_row").where(F.col("places") * least_words >= F.size("passage") * least_share)
     hits = work.write(hits.select("doc_id", "item_id", "passage"), "hits")
-    pairs = hits.join(texts, "doc_id")
+    # Only the texts that are compared are split again.
+    pairs = hits.join(texts, "doc_id").select("doc_id", "item_id", "passage", words(F.col("text")).alias("words"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

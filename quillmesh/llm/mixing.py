@@ -2,8 +2,8 @@
 
 The documents of a source are shuffled by a hash; each gets a virtual finish time, the tokens of its source up to and with it,
 divided by the source's weight. Sorted by that time, all sources advance in proportion to their weights, so the mix is the prefix
-of the sorted sequence that fits the total budget. Running sums come from sums of hash and time buckets, whose number is bounded,
-and from windows within one bucket: no source is ever summed up in one task.
+of the sorted sequence that fits the total budget. Running sums come from sums of hash and time buckets, whose number follows
+that of the documents, and from windows within one bucket: no source is ever summed up in one task.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 
 from quillmesh.session import Workspace, spread
 
+#: Documents in a bucket on average; running sums go through windows of that many rows, whatever the size of the collection.
+ROWS_PER_BUCKET = 10_000
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
 
@@ -42,7 +44,7 @@ def token_counts(text: Column, tokenizer: str = TOKENIZER) -> Column:
     return count(text)
 
 
-def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 17, buckets: int = 1024, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 17, buckets: int | None = None, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
     """(mix, shares).
 
     mix: doc_id, source, copy (from 0), n_tokens, finish_time, tokens_before, in the order of finish_time. shares: a row for each
@@ -51,7 +53,7 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     proportions. With a larger budget exhausted sources fall behind, which the shares show. Sources that differ only in case or
     padding are one; documents without a source, without a target or without tokens take no part; a target without texts gets 0, and
     the others share its part in proportion. A source's document is used at most max_repeats times in all, and a second time only
-    after all others of the source were used once. Several targets of one source add up; the greatest max_repeats of them holds.
+    after all others of the source were used once. buckets: of the hash of a source's documents; by their number, where unset. Several targets of one source add up; the greatest max_repeats of them holds.
     """
     spark = documents.sparkSession
     work = Workspace(spark, "mix")
@@ -60,6 +62,8 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: int | None = Non
     sized = spread(documents.select("doc_id", normal_source(F.col("source")).alias("source"), "text")).join(F.broadcast(wanted.select("source")), "source", "left_semi")
     sized = work.write(sized.select("doc_id", "source", token_counts(F.col("text"), tokenizer).alias("n_tokens")).where("n_tokens > 0"), "sized")
 
+    if buckets is None:
+        buckets = max(16, -(-sized.count() // ROWS_PER_BUCKET))
     # One row for each target, as the caller's table of targets has it.
     rows = wanted.join(sized.groupBy("source").agg(F.sum("n_tokens").alias("size")), "source", "left").collect()
     live = {r["source"]: r for r in rows if r["size"] and r["max_repeats"] > 0}

@@ -98,6 +98,27 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets"))[1]
 
 
+def p9_full_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each source contributes where the budget is all that the sources have: small ones are repeated up to their cap and fall behind."""
+    documents, targets = read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets")
+    sizes = documents.select(mixing.normal_source(F.col("source")).alias("source"), F.length("text").alias("n")).groupBy("source").agg(F.sum("n").alias("n"))
+    named = targets.select(mixing.normal_source(F.col("source")).alias("source")).distinct()
+    total = sizes.join(F.broadcast(named), "source").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # About four characters of a text make a token.
+    return mixing.mix(documents, targets, total_tokens=int(total // 4))[1]
+
+
+def p9_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each target whether its source has texts, keeps its cap of repetitions, and reaches its share among the sources that have texts."""
+    documents, targets = read(spark, sf_dir, "documents"), read(spark, sf_dir, "mix_targets")
+    _, shares = mixing.mix(documents, targets)
+    caps = targets.select(mixing.normal_source(F.col("source")).alias("source"), "max_repeats").groupBy("source").agg(F.max("max_repeats").alias("cap"))
+    live = shares.where("available_tokens > 0").agg(F.sum("target_share")).first()[0] or 1.0
+    near = F.abs(F.col("actual_share") - F.col("target_share") / F.lit(live)) < 0.02
+    rows = shares.join(F.broadcast(caps), "source")
+    return rows.select("source", (F.col("available_tokens") > 0).alias("has_texts"), (F.col("copies") <= F.col("cap")).alias("within_cap"), F.when(F.col("available_tokens") > 0, near).otherwise(F.col("actual_share") == 0).alias("reached"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The distinct personal data of each document."""
     found = pii.find(read(spark, sf_dir, "documents"))
@@ -129,7 +150,7 @@ d as (select token, count(*) as df from p group by token)
 """
 
 QUERIES = {
-    "p1_found": p1_found, "p1_incremental": p1_incremental, "p2_found": p2_found, "p5_found": p5_found, "p5_groups": p5_groups, "p6_found": p6_found, "p7_found": p7_found, "p7_weights": p7_weights, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_redacted": p10_redacted,
+    "p1_found": p1_found, "p1_incremental": p1_incremental, "p2_found": p2_found, "p5_found": p5_found, "p5_groups": p5_groups, "p6_found": p6_found, "p7_found": p7_found, "p7_weights": p7_weights, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_full_budget": p9_full_budget, "p9_bounds": p9_bounds, "p10_found": p10_found, "p10_redacted": p10_redacted,
 }
 ORACLES = {
     "p1_found": _P1 + "select item_a, item_b from q where n_ab * n >= 3 * n_a * n_b",
@@ -146,6 +167,10 @@ select feature_id, token from (select *, row_number() over (partition by feature
     "p7_weights": _P7 + """,
 s as (select feature_id, token, cnt * (ln((1 + n) / (1 + df)) + 1) as w from p join d using (token), n)
 select feature_id, token, round(w / sqrt(sum(w * w) over (partition by feature_id)), 6) as score from s""",
+    "p9_bounds": r"""
+with t as (select lower(regexp_replace(source, '^\s+|\s+$', '', 'g')) as source from mix_targets where source is not null and target_share > 0 group by 1),
+d as (select lower(regexp_replace(source, '^\s+|\s+$', '', 'g')) as source, count(*) as n from documents where text <> '' group by 1)
+select t.source, coalesce(d.n, 0) > 0 as has_texts, true as within_cap, true as reached from t left join d using (source)""",
     "p8_found": r"""
 with w as (select doc_id, list_filter(list_transform(regexp_split_to_array(lower(text), '\s+'), lambda x: regexp_replace(x, '[^\p{L}\p{N}]', '', 'g')), lambda x: x <> '') as ws from documents where text is not null),
 v as (select item_id, list_filter(list_transform(regexp_split_to_array(lower(passage), '\s+'), lambda x: regexp_replace(x, '[^\p{L}\p{N}]', '', 'g')), lambda x: x <> '') as ws from eval_items),
