@@ -66,10 +66,10 @@ class Corpus:
         batch = changed.select("url", namespace(F.col("url"), self.site).alias("namespace"), "confirmed", F.when(F.col("confirmed"), F.col("lastmod")).alias("lastmod"))
         return self.table("urls").merge(batch, "url", merge.DISCOVERY_RULES)
 
-    def crawl(self, transport: readers.Transport, **limits) -> dict[str, int]:
-        """Follows the site's listings and adds the entry urls that aren't known yet."""
-        listings = self.spark.createDataFrame(list(self.site.listings), "path string, confirmed boolean")
-        found = self._held(readers.crawl_listing(self.spark, listings, transport, self.read("urls"), self.site, **limits), "crawled")
+    def crawl(self, transport: readers.Transport, config: readers.CrawlConfig = readers.CrawlConfig()) -> dict[str, int]:
+        """Follows the site's listings, in their order, and adds the entry urls that aren't known yet."""
+        listings = self.spark.createDataFrame([(*listing, n) for n, listing in enumerate(self.site.listings)], "path string, confirmed boolean, place int")
+        found = self._held(readers.crawl_listing(self.spark, listings, transport, self.read("urls"), self.site, config), "crawled")
         batch = found.select("url", namespace(F.col("url"), self.site).alias("namespace"), "confirmed", F.lit(None).cast("string").alias("lastmod"))
         return self.table("urls").merge(batch, "url", merge.DISCOVERY_RULES)
 
@@ -141,6 +141,12 @@ class Corpus:
         out = {"asked": seen, "ready": tally.get("ready", 0), "incomplete": tally.get("incomplete", 0), "failed": new.count()}
         return out | {"skipped": seen - out["ready"] - out["incomplete"] - out["failed"]}
 
+    def sample_report(self, sample: int = 100) -> dict:
+        """What parsing finds on some of the stored pages, chosen by a hash; nothing is written."""
+        some = tables.stored_pages(self.read("doms")).orderBy(F.xxhash64("url")).limit(sample)
+        parsed = self._held(pages.parse_pages(some, self.site), "sampled")
+        return reports.parse_report(*pages.entries_and_failures(parsed, PARSER_VERSION, self.policy, self.site))
+
     def failures_by_namespace(self) -> DataFrame:
         return reports.by_group(select.with_namespace(self.read("parse_failures").select("url"), self.read("urls").select("url", "namespace"), fallback_namespace(F.col("url"), self.site)), F.col("namespace"))
 
@@ -161,18 +167,32 @@ class Corpus:
         urls bear their template's name."""
         started, rid = self.now(), run_id(self.now())
         tokens = self._held(features.token_counts(tables.feature_tokens(self.read("dom_features"), EXTRACTOR_VERSION), "url"), "token_counts")
-        done, metrics = clustering.run(tokens, "url", config)
+        reduced = clustering.reduce_tokens(tokens, "url", config)
+        done, metrics = clustering.run(tokens, "url", config, reduced)
         stamp = done.select("url", F.lit(rid).alias("cluster_run_id"), F.col("label").cast("int").alias("cluster_id"), F.col("probability").alias("cluster_probability"))
         self.table("dom_features").merge(stamp, "url", {}, insert=False)
         self._replace("dom_clusters", rid, self.cluster_documents(done, tokens, config, rid))
         run = [(rid, started, self.now(), json.dumps(config.__dict__), json.dumps(metrics), metrics["n_docs"])]
         self._replace("cluster_runs", rid, self.spark.createDataFrame(run, SCHEMAS["cluster_runs"]))
+        clustering.model_of(done, reduced[2], config.binary).save(f"{self.path}/models/{rid}")
         matched = 0
         if write_back:
             names = clustering.template_names(done.select("url", "label")).select("url", "page_template_type")
             matched = self.table("urls").merge(names, "url", {}, insert=False)["updated"]
         return metrics | {"run_id": rid, "matched": matched}
 
+    def assign(self, rid: str) -> dict[str, int]:
+        """Gives pages that no run has clustered to the clusters of a kept run, or to its noise."""
+        new = self.read("dom_features").where("cluster_run_id is null").select("url", "tokens", "extractor_version")
+        tokens = self._held(features.token_counts(tables.feature_tokens(new, EXTRACTOR_VERSION), "url"), "new_tokens")
+        found = clustering.Model.load(self.spark, f"{self.path}/models/{rid}").assign(tokens, "url")
+        stamp = self._held(found.select("url", F.lit(rid).alias("cluster_run_id"), F.col("label").cast("int").alias("cluster_id")), "assigned")
+        return self.table("dom_features").merge(stamp, "url", {}, insert=False)
+
+    def clusters(self, rid: str) -> DataFrame:
+        """The clusters of a run in the order of reports: the largest first, noise last."""
+        return clustering.by_size(self.read("dom_clusters").where(F.col("run_id") == rid), "cluster_id")
+
     def cluster_documents(self, done: DataFrame, tokens: DataFrame, config: clustering.Config, rid: str) -> DataFrame:
         """A row for each cluster, noise included: size, distinguishing tokens, medoid, samples, namespaces."""
         weights = features.tfidf(tokens, "url", config.min_df, config.binary)
@@ -196,9 +216,13 @@ class Corpus:
         out = {
             "urls": one(u, total=F.lit(True), confirmed=F.col("confirmed"), lastmod_null=F.col("lastmod").isNull()),
             "doms": one(d, total=F.lit(True), ok=F.col("scrape_status") == "ok", failed=F.col("scrape_status") == "failed", permanent=F.col("last_error_kind") == "permanent"),
-            "failures": {r[0]: r[1] for r in reports.by_group(self.read("parse_failures"), F.col("error_type")).collect()},
+            "failures": {r[0]: r[1] for r in reports.by_group(self.read("parse_failures"), F.col("error_type")).collect()}, "failures_by_namespace": {r[0]: r[1] for r in self.failures_by_namespace().collect()},
             "namespaces": {r[0]: r[1] for r in reports.by_group(u, reports.label_or_unknown(F.col("namespace"))).collect()},
         }
+        f = self.read("dom_features")
+        out["features"] = one(f, total=F.lit(True), clustered=F.col("cluster_run_id").isNotNull(), noise=F.col("cluster_id") == clustering.NOISE) | {"versions": {r[0]: r[1] for r in reports.by_group(f, F.col("extractor_version")).collect()}}
+        latest = self.read("cluster_runs").orderBy(F.col("started_at").desc(), F.col("run_id").desc()).first()
+        out["latest_run"] = None if latest is None else {"run_id": latest["run_id"], "n_docs": latest["n_docs"], **json.loads(latest["metrics"])}
         if self.table("entries").version():
             e = self.read("entries")
             out["entries"] = one(e, total=F.lit(True), ready=F.col("corpus_status") == "ready")

@@ -92,9 +92,3 @@ def status_class(code: Column) -> Column:
 def backoff_cap(attempt: Column, base: float = 2.0, most: float = 60.0) -> Column:
     """The longest wait before the next attempt, in seconds; a fetcher waits between half of it and all of it."""
     return F.least(F.lit(most), F.lit(base) * F.pow(F.lit(2.0), attempt - 1))
-
-
-def class_token(tag: Column, classes: Column, most: int = 3) -> Column:
-    """`tag.class.class` of the first distinct classes in order, those with digits left out."""
-    kept = F.slice(F.array_sort(F.array_distinct(F.filter(F.split(F.coalesce(classes, F.lit("")), r"\s+"), lambda c: (c != "") & ~c.rlike(r"\d")))), 1, most)
-    return F.concat(F.lower(tag), F.when(F.size(kept) > 0, F.concat(F.lit("."), F.array_join(kept, "."))).otherwise(""))

@@ -9,10 +9,11 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillmesh.operators import features
+from quillmesh.operators.frequency import join_salted
 from quillmesh.operators.select import numbered
 from quillmesh.session import Workspace
 
@@ -25,29 +26,81 @@ def unit(v: Column) -> Column:
     return F.transform(v, lambda x: F.when(length > 0, x / length).otherwise(x.cast("double")))
 
 
-def svd(weights: DataFrame, key: str, components: int) -> tuple[DataFrame, float]:
-    """(key, vector: the truncated SVD of the records' token weights, uncentred, scaled to length 1; share of the variance kept).
+def _sparse_rows(w: DataFrame, ids: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """i, j, x: the weights of each record as one sparse row. Tokens that all records have are dealt out over parts."""
+    counts = w.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    placed = join_salted(w, ids, "token", counts).join(rows, key)
+    packed = placed.groupBy("i").agg(F.array_sort(F.collect_list(F.struct("j", "weight"))).alias("v"))
+    return packed.select("i", F.col("v.j").alias("j"), F.col("v.weight").alias("x"))
+
+
+def svd(weights: DataFrame, key: str, components: int) -> tuple[DataFrame, float, DataFrame]:
+    """(key, vector: the truncated SVD of the records' token weights, uncentred, scaled to length 1; share of the variance kept; token, factor:
+    the way of each token into the reduced space).
 
     components is cut to one less than records and tokens, and is 2 at least. The token side of the factors, tokens x components, comes to
-    the driver; min_df bounds the tokens beforehand."""
+    the driver; min_df bounds the tokens beforehand. A record's vector is the sum of its tokens' factors times their weights,
+    computed where the rows are."""
     from pyspark.mllib.linalg import Vectors
-    from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
+    from pyspark.mllib.linalg.distributed import RowMatrix
 
-    work = Workspace(weights.sparkSession, "svd")
+    spark = weights.sparkSession
+    work = Workspace(spark, "svd")
     w = work.write(weights.select(key, "token", "weight"), "weights")
     ids = work.write(numbered(w.select("token").distinct(), ["token"], "j"), "vocabulary")
     rows = work.write(numbered(w.select(key).distinct(), [key], "i"), "rows")
     n, m = rows.count(), ids.count()
     k = max(2, min(components, n - 1, m - 1))
-    packed = w.join(ids, "token").join(rows, key).groupBy("i").agg(F.array_sort(F.collect_list(F.struct("j", "weight"))).alias("v"))
-    matrix = IndexedRowMatrix(packed.select("i", F.col("v.j").alias("j"), F.col("v.weight").alias("x")).rdd.map(lambda r: IndexedRow(r["i"], Vectors.sparse(m, r["j"], r["x"]))), 0, m)
-    found = matrix.computeSVD(k, computeU=True)
-    scale = found.s.toArray()
-    reduced = found.U.rows.map(lambda r: (int(r.index), [float(a * b) for a, b in zip(r.vector.toArray(), scale, strict=True)])).toDF("i bigint, v array<double>")
-    reduced = work.write(reduced, "reduced")
+    # MLlib takes an RDD of vectors; one vector for each record passes through Python, no token does.
+    packed = work.write(_sparse_rows(w, ids, rows, key), "packed")
+    matrix = RowMatrix(packed.rdd.map(lambda r: Vectors.sparse(m, r["j"], r["x"])), 0, m)
+    v = matrix.computeSVD(k, computeU=False).V.toArray()
+    factors = spark.createDataFrame(pd.DataFrame({"j": np.arange(m), "factor": [row.tolist() for row in v]}), "j bigint, factor array<double>")
+    factors = work.write(factors.join(ids, "j").select("token", "factor"), "factors")
+    reduced = work.write(projected(w, factors, key), "reduced")
     kept = reduced.select(F.posexplode("v").alias("d", "x")).groupBy("d").agg(F.var_pop("x").alias("v")).agg(F.sum("v")).first()[0]
     whole = w.groupBy("token").agg(F.sum("weight").alias("s"), F.sum(F.col("weight") * F.col("weight")).alias("q")).agg(F.sum(F.col("q") / n - (F.col("s") / n) ** 2)).first()[0]
-    return reduced.join(rows, "i").select(key, unit(F.col("v")).alias("vector")), float(kept / whole) if whole else 0.0
+    return reduced.select(key, unit(F.col("v")).alias("vector")), float(kept / whole) if whole else 0.0, factors
+
+
+def projected(weights: DataFrame, factors: DataFrame, key: str) -> DataFrame:
+    """key, v: the sum of the tokens' factors times their weights; tokens without a factor don't count, records without any are left out."""
+    counts = weights.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    parts = join_salted(weights.select(key, "token", "weight"), factors, "token", counts)
+    long = parts.select(key, F.posexplode(F.transform("factor", lambda x: x * F.col("weight"))).alias("d", "x")).groupBy(key, "d").agg(F.sum("x").alias("x"))
+    return long.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("d", "x"))).alias("v")).select(key, F.col("v.x").alias("v"))
+
+
+@dataclass
+class Model:
+    """What a run knows that new records need to find their cluster: of each token its idf and factor, and of each cluster its centroid and
+    the greatest distance of a member from it. Kept as tables in one folder."""
+
+    tokens: DataFrame
+    centres: DataFrame
+    binary: bool = True
+
+    def save(self, path: str) -> None:
+        self.tokens.write.mode("overwrite").parquet(f"{path}/tokens")
+        self.centres.write.mode("overwrite").parquet(f"{path}/centres")
+        self.tokens.sparkSession.createDataFrame([(self.binary,)], "binary boolean").coalesce(1).write.mode("overwrite").parquet(f"{path}/parameters")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Model:
+        return cls(spark.read.parquet(f"{path}/tokens"), spark.read.parquet(f"{path}/centres"), spark.read.parquet(f"{path}/parameters").first()[0])
+
+    def project(self, tokens: DataFrame, key: str) -> DataFrame:
+        """key, vector of records (key, token, count) in the space of the run; records without a known token are left out."""
+        tf = F.lit(1.0) if self.binary else 1.0 + F.log("count")
+        counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        raw = join_salted(tokens.select(key, "token", "count"), self.tokens.select("token", "idf"), "token", counts).withColumn("w", tf * F.col("idf"))
+        length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
+        return projected(raw.select(key, "token", (F.col("w") / length).alias("weight")), self.tokens.select("token", "factor"), key).select(key, unit(F.col("v")).alias("vector"))
+
+    def assign(self, tokens: DataFrame, key: str) -> DataFrame:
+        """key, label, distance of new records: the cluster with the nearest centroid, NOISE beyond the farthest member of that cluster."""
+        found = assign(self.project(tokens, key), key, self.centres).join(F.broadcast(self.centres.select("label", "most")), "label")
+        return found.select(key, F.when(F.col("distance") <= F.col("most") + 1e-9, F.col("label")).otherwise(NOISE).alias("label"), "distance")
 
 
 def kmeans(points: DataFrame, key: str, k: int, seeds: int = 10, seed: int = 42) -> DataFrame:
@@ -277,8 +330,18 @@ def stratified(points: DataFrame, key: str, sample: int = 4000, floor: int = 50,
     sizes = own.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     n = sizes.agg(F.sum("size")).first()[0] or 0
     quota = sizes.withColumn("take", F.least("size", F.greatest(F.lit(floor), F.bround(F.lit(float(sample)) * F.col("size") / F.lit(float(max(n, 1)))).cast("bigint"))))
-    ranked = own.withColumn("__r", F.row_number().over(Window.partitionBy("label").orderBy(order if order is not None else F.xxhash64(key), key)))
-    return ranked.join(quota, "label").where(F.col("__r") <= F.col("take")).drop("__r", "size", "take")
+    ranked = own.join(F.broadcast(quota), "label")  # a row for each cluster
+    if order is not None:
+        ranked = ranked.withColumn("__r", F.row_number().over(Window.partitionBy("label").orderBy(order, key)))
+        return ranked.where(F.col("__r") <= F.col("take")).drop("__r", "size", "take")
+    # By hash the rows that can be among the first are those below a bound that nearly no sample exceeds; where one does, its cluster is ranked whole.
+    rank = F.xxhash64(key)
+    share = F.least(F.lit(1.0), (F.col("take") + 8 * F.sqrt("take") + 16) / F.col("size"))
+    low = (rank / F.lit(2.0**64) + 0.5) < share
+    enough = ranked.groupBy("label").agg((F.count_if(low) >= F.max("take")).alias("__enough"))
+    likely = ranked.join(F.broadcast(enough), "label").where(low | ~F.col("__enough"))
+    likely = likely.withColumn("__r", F.row_number().over(Window.partitionBy("label").orderBy(rank, key)))
+    return likely.where(F.col("__r") <= F.col("take")).drop("__r", "size", "take", "__enough")
 
 
 def silhouette(points: DataFrame, key: str, sample: int = 4000, floor: int = 50, order: Column | None = None) -> DataFrame:
@@ -318,11 +381,13 @@ def medoids(points: DataFrame, key: str) -> DataFrame:
 
 
 def samples(points: DataFrame, key: str, most: int = 5, seed: int = 42) -> DataFrame:
-    """label, samples: the medoid and others chosen by a hash, `most` in all; noise has no medoid."""
+    """label, samples: the medoid and others chosen by a hash, `most` in all; noise has no medoid. The limit on the rank
+    is applied before the shuffle."""
     m = medoids(points, key)
-    rest = points.select("label", key).join(m.select("label", "medoid"), "label", "left")
-    first = (F.col(key) == F.col("medoid")).cast("int")
-    r = rest.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy(F.coalesce(first, F.lit(0)).desc(), F.xxhash64(F.col(key), F.lit(seed)))))
+    rest = points.select("label", key).join(F.broadcast(m.select("label", "medoid")), "label", "left")  # a row for each cluster
+    first = F.coalesce((F.col(key) == F.col("medoid")).cast("int"), F.lit(0))
+    order = Window.partitionBy("label").orderBy(first.desc(), F.xxhash64(F.col(key), F.lit(seed)), key)
+    r = rest.withColumn("r", F.row_number().over(order))
     return r.where(F.col("r") <= most).groupBy("label").agg(F.array_sort(F.collect_list(F.struct("r", key))).alias("s")).select("label", F.col(f"s.{key}").alias("samples"))
 
 
@@ -342,17 +407,25 @@ class Config:
     seeds: int = 10
 
 
-def run(tokens: DataFrame, key: str, config: Config = Config()) -> tuple[DataFrame, dict]:
+def reduce_tokens(tokens: DataFrame, key: str, config: Config) -> tuple[DataFrame, float, DataFrame]:
+    """(key, vector; share of the variance kept; token, idf, factor) for a configuration's min_df, binary and components."""
+    work = Workspace(tokens.sparkSession, "reduced")
+    n = tokens.select(key).distinct().count()
+    weights = work.write(features.tfidf(tokens, key, config.min_df, config.binary), "weights")
+    points, kept, factors = svd(weights, key, config.components)
+    idf = weights.groupBy("token").agg((F.log(F.lit(1.0 + n) / (1.0 + F.max("df"))) + 1.0).alias("idf"))
+    return work.write(points, "points"), kept, work.write(factors.join(idf, "token"), "tokens")
+
+
+def run(tokens: DataFrame, key: str, config: Config = Config(), reduced: tuple[DataFrame, float, DataFrame] | None = None) -> tuple[DataFrame, dict]:
     """(key, label, probability, vector; metrics) of one configuration over long-form token counts. Fewer records than the smallest cluster, or
-    than ten, are an error."""
+    than ten, are an error. reduced: what reduce_tokens gave for the same min_df, binary and components."""
     work = Workspace(tokens.sparkSession, "run")
     n = tokens.select(key).distinct().count()
     least = max(10, config.k if config.algorithm == "kmeans" else config.min_cluster_size)
     if n < least:
         raise ValueError(f"{n} records; a {config.algorithm} run takes {least} at least")
-    weights = work.write(features.tfidf(tokens, key, config.min_df, config.binary), "weights")
-    points, kept = svd(weights, key, config.components)
-    points = work.write(points, "points")
+    points, kept, known = reduced or reduce_tokens(tokens, key, config)
     if config.algorithm == "kmeans":
         labels = kmeans(points, key, config.k, config.seeds).withColumn("probability", F.lit(None).cast("double"))
     else:
@@ -362,19 +435,46 @@ def run(tokens: DataFrame, key: str, config: Config = Config()) -> tuple[DataFra
     real = {k: v for k, v in sizes.items() if k != NOISE}
     rounded = lambda x: None if x is None else round(x, 4)
     metrics = {
-        "algorithm": config.algorithm, "n_docs": n, "n_features": weights.select("token").distinct().count(), "explained_variance": round(kept, 4), "n_clusters": len(real), "n_noise": sizes.get(NOISE, 0), "noise_share": round(sizes.get(NOISE, 0) / n, 4),
+        "algorithm": config.algorithm, "n_docs": n, "n_features": known.count(), "explained_variance": round(kept, 4), "n_clusters": len(real), "n_noise": sizes.get(NOISE, 0), "noise_share": round(sizes.get(NOISE, 0) / n, 4),
         "largest_share": round(max(real.values(), default=0) / n, 4), "silhouette": rounded(silhouette(done, key, config.sample, config.floor).first()[0]), "davies_bouldin": rounded(davies_bouldin(done).first()[0]) if len(real) > 1 else None,
     }
     return done, metrics
 
 
+def model_of(done: DataFrame, known: DataFrame, binary: bool = True) -> Model:
+    """The model of a run: done as run gives it, known (token, idf, factor) as reduce_tokens does."""
+    c = centroids(done)
+    farthest = done.where(F.col("label") != NOISE).join(c, "label").groupBy("label").agg(F.max(_to(F.col("vector").cast("array<double>"), F.col("centroid"))).alias("most"))
+    return Model(known, c.join(farthest, "label"), binary)
+
+
+def grid(algorithms: list[str], min_dfs: list[int], binaries: list[bool], components: list[int], ks: list[int], min_sizes: list[int], **fixed) -> list[Config]:
+    """Every combination of the listed values that differ for the algorithm: k for k-means, the smallest cluster for density clustering."""
+    return [
+        Config(algorithm=a, min_df=df, binary=binary, components=d, **({"k": x} if a == "kmeans" else {"min_cluster_size": x}), **fixed)
+        for df in min_dfs for binary in binaries for d in components for a in algorithms for x in (ks if a == "kmeans" else min_sizes)
+    ]
+
+
 def sweep(tokens: DataFrame, key: str, configs: list[Config]) -> DataFrame:
-    """The metrics of each configuration, those with two clusters or more first, then by falling silhouette."""
-    rows = [run(tokens, key, c)[1] | {"k": c.k, "min_cluster_size": c.min_cluster_size, "min_df": c.min_df, "components": c.components} for c in configs]
+    """The metrics of each configuration, those with two clusters or more first, then by falling silhouette. Configurations with the same
+    weights and components share one reduction."""
+    shared: dict[tuple, tuple] = {}
+    rows = []
+    for c in configs:
+        space = (c.min_df, c.binary, c.components)
+        if space not in shared:
+            shared[space] = reduce_tokens(tokens, key, c)
+        rows.append(run(tokens, key, c, shared[space])[1] | {"k": c.k, "min_cluster_size": c.min_cluster_size, "min_df": c.min_df, "components": c.components, "binary": c.binary})
     rows.sort(key=lambda r: (r["n_clusters"] < 2, -(r["silhouette"] if r["silhouette"] is not None else -9.0)))
     return tokens.sparkSession.createDataFrame(pd.DataFrame([r | {"place": i} for i, r in enumerate(rows)]).astype({"silhouette": "float64", "davies_bouldin": "float64"}))
 
 
+def by_size(clusters: DataFrame, label: str = "label", size: str = "size") -> DataFrame:
+    """Clusters (one row each) in their order for reports: the largest first, noise last, equal ones by label."""
+    return clusters.orderBy((F.col(label) == NOISE).asc_nulls_last(), F.col(size).desc(), label)
+
+
 def assign(points: DataFrame, key: str, centres: DataFrame, most: float | None = None) -> DataFrame:
     """key, label, distance of new points to the nearest of the kept centres (label, centroid); NOISE beyond the distance `most`. The centres, one
     for each cluster, come to the driver and become part of the expression."""

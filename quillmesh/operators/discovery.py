@@ -26,13 +26,14 @@ def records(urls: DataFrame, confirmed, lastmod, site: SiteProfile = DEFAULT_SIT
     return urls.select(key, namespace(F.col(key), site).alias("namespace"), confirmed.alias("confirmed"), F.when(confirmed, lastmod).alias("lastmod"))
 
 
-def sitemap_tree(roots: DataFrame, children: DataFrame, most_levels: int = 50) -> DataFrame:
-    """loc of all sitemaps reachable from the roots (loc); children: parent, child. One join for each level, each sitemap once, so a tree
-    with loops ends."""
+def sitemap_tree(roots: DataFrame, children: DataFrame) -> DataFrame:
+    """loc of all sitemaps reachable from the roots (loc), however deep; children: parent, child. One join for each level, each sitemap
+    once, so a tree with loops ends."""
     work = Workspace(roots.sparkSession, "sitemaps")
     level = work.write(roots.select("loc").where("loc is not null").distinct(), "level0")
-    seen = level
-    for n in range(1, most_levels + 1):
+    seen, n = level, 0
+    while True:
+        n += 1
         step = children.where("child is not null").join(level.withColumnRenamed("loc", "parent"), "parent", "left_semi").select(F.col("child").alias("loc")).distinct()
         level = work.write(step.join(seen, "loc", "left_anti"), f"level{n}")
         if not level.head(1):

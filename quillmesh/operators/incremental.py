@@ -65,6 +65,18 @@ class Ledger:
         paths = [f"{self.path}/pairs/run={c['run']}" for c in self._commits()]
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
+    def last(self, key: str) -> DataFrame:
+        """Of each key the pair of the last committed run that has one: where a key's later state replaces its earlier ones."""
+        runs = self._commits()
+        if not runs:
+            return self.spark.createDataFrame([], self.schema)
+        parts = [self.spark.read.schema(self.schema).parquet(f"{self.path}/pairs/run={c['run']}").withColumn("__run", F.lit(n)) for n, c in enumerate(runs)]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        names = [c for c in out.columns if c != "__run"]
+        return out.groupBy(F.col(key).alias("__k")).agg(F.max_by(F.struct(*names), "__run").alias("v")).select(*(F.col(f"v.{c}") for c in names))
+
     def commit(self, run: str, pairs: DataFrame, at: datetime, oldest_open: datetime | None) -> None:
         """Ends a run: pairs are what it has processed, oldest_open the start of the oldest transaction still open at that time."""
         if any(c["run"] == run for c in self._commits()):
@@ -92,21 +104,67 @@ def good_fetches(doms: DataFrame) -> DataFrame:
     return held.select("dom_id", "url", F.lower(F.coalesce("content_sha256", F.sha2("html", 256))).alias("version"), "fetched_at", "worker_id", "received_at")
 
 
-def pending_stages(urls: DataFrame, fetches: DataFrame, entries: DataFrame, runs: DataFrame, horizon: datetime | None = None) -> DataFrame:
-    """(url, stage) for each url whose page has to be fetched or parsed since the last success.
+STATE = "url string, confirmed boolean, lastmod_us bigint, fetched_us bigint, current string, parsed boolean, done string"
+
+
+def url_states(urls: DataFrame, fetches: DataFrame, entries: DataFrame, runs: DataFrame) -> DataFrame:
+    """What decides on a url, one row each, and its version: whether it is confirmed, its latest lastmod, the instant and hash of its current
+    fetch, whether an entry of a succeeded run answers it and that entry's hash; the version is a hash of all that.
 
     urls: url, confirmed, lastmod_us (microseconds, or null). fetches: good_fetches with fetched_us. entries: url, dom_content_sha256,
-    run_id, parsed_at, entry_id. runs: run_id, state, created_at. horizon: only urls with a fetch received
-    from there on can be to parse; None for the first run.
-    Rows with a null url and fetches without an instant are left out; of fetches at one instant the greatest dom_id counts.
+    run_id, parsed_at, entry_id. runs: run_id, state, created_at. Rows with a null url and fetches without an instant are left out; of
+    fetches at one instant the greatest dom_id counts.
     """
-    newest = latest(fetches, ["url"], [F.col("fetched_us"), F.col("dom_id")], ["version", "fetched_us"])
-    # The horizon only tells which urls were touched; what is current of them is told by all their fetches.
-    current = newest if horizon is None else newest.join(reread_from(fetches, F.col("received_at"), horizon).select("url").distinct(), "url", "left_semi")
+    newest = latest(fetches.where("url is not null"), ["url"], [F.col("fetched_us"), F.col("dom_id")], ["version", "fetched_us"])
     committed = entries.join(succeeded_runs(runs), "run_id", "left_semi").where("url is not null")
     committed = committed.select("url", "parsed_at", "entry_id", F.lower("dom_content_sha256").alias("version"))
-    ledger = latest(committed, ["url"], [F.col("parsed_at"), F.col("entry_id")], ["version"])
-    parse = unprocessed(current, ledger, ["url"], "version").select("url", F.lit("parse").alias("stage"))
-    known = urls.where("url is not null").groupBy("url").agg(F.max("confirmed").alias("confirmed"), F.max("lastmod_us").alias("lastmod_us")).where("confirmed")
-    fetch = known.join(newest.select("url", "fetched_us"), "url", "left").where("fetched_us is null or lastmod_us > fetched_us")
-    return parse.unionByName(fetch.select("url", F.lit("fetch").alias("stage")))
+    done = latest(committed, ["url"], [F.col("parsed_at"), F.col("entry_id")], ["version"])
+    known = urls.where("url is not null").groupBy("url").agg(F.max("confirmed").alias("confirmed"), F.max("lastmod_us").alias("lastmod_us"))
+    parts = known.unionByName(newest.select("url", "fetched_us", F.col("version").alias("current")), allowMissingColumns=True)
+    parts = parts.unionByName(done.select("url", F.lit(True).alias("parsed"), F.col("version").alias("done")), allowMissingColumns=True)
+    names = [f.split()[0] for f in STATE.split(", ")][1:]
+    states = parts.groupBy("url").agg(*(F.max(c).alias(c) for c in names))
+    return states.withColumn("version", F.md5(F.to_json(F.struct(*names))))
+
+
+def stages_of(states: DataFrame) -> DataFrame:
+    """(url, stage): parse where the current fetch has another hash than the entry that answers the url or none does; fetch where a confirmed
+    url has no good fetch or one from before its lastmod."""
+    parse = F.col("fetched_us").isNotNull() & ~(F.coalesce("parsed", F.lit(False)) & F.col("done").eqNullSafe(F.col("current")))
+    fetch = F.col("confirmed") & (F.col("fetched_us").isNull() | (F.col("lastmod_us") > F.col("fetched_us")))
+    named = F.array_compact(F.array(F.when(parse, F.lit("parse")), F.when(fetch, F.lit("fetch"))))
+    return states.select("url", F.explode(named).alias("stage"))
+
+
+def touched_urls(urls: DataFrame, fetches: DataFrame, entries: DataFrame, runs: DataFrame, horizon: datetime) -> DataFrame:
+    """The urls with a row that became visible at or after the horizon: discovered, received or parsed since, or of a run whose state was
+    reported since. Rows without a time count as new."""
+    told = [(urls, "discovered_at"), (fetches, "received_at"), (entries, "parsed_at")]
+    parts = [reread_from(df, F.col(at), horizon).select("url") for df, at in told]
+    parts.append(entries.join(reread_from(runs, F.col("created_at"), horizon).select("run_id").distinct(), "run_id", "left_semi").select("url"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.where("url is not null").distinct()
+
+
+def changed_states(ledger: Ledger, urls: DataFrame, fetches: DataFrame, entries: DataFrame, runs: DataFrame) -> DataFrame:
+    """The states that the next run has to decide on: of urls touched since the ledger's horizon - all, where it is open -, computed from all
+    their rows, without those whose version the ledger has as the last one of the url."""
+    horizon = ledger.horizon()
+    if horizon is not None:
+        touched = touched_urls(urls, fetches, entries, runs, horizon)
+        urls, fetches, entries = (df.join(touched, "url", "left_semi") for df in (urls, fetches, entries))
+    return unprocessed(url_states(urls, fetches, entries, runs), ledger.last("url"), ["url"], "version")
+
+
+def pending_stages(urls: DataFrame, fetches: DataFrame, entries: DataFrame, runs: DataFrame, horizon: datetime | None = None) -> DataFrame:
+    """(url, stage) for each url whose page has to be fetched or parsed since the last success, from tables as url_states takes them. horizon: only
+    urls with a fetch received from there on can be to parse - what is current of them is told by all their fetches; None for the
+    first run."""
+    states = url_states(urls, fetches, entries, runs)
+    found = stages_of(states)
+    if horizon is None:
+        return found
+    since = reread_from(fetches, F.col("received_at"), horizon).select("url").distinct()
+    return found.where("stage = 'fetch'").unionByName(found.where("stage = 'parse'").join(since, "url", "left_semi"))

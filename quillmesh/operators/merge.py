@@ -1,16 +1,23 @@
 """Keyed merges of new observations into a table: one rule for each column, one row for each key.
 
-Plain Parquet tables have no MERGE; a merge is a full outer join on the key with a rule for each column, and its result is written as
-a new version of the table beside the old one (VersionedTable). Batches are reduced to one row for each key before the join, with
+Plain Parquet tables have no MERGE; a merge is a full outer join on the key with a rule for each column, and the buckets it touches are
+written as a new version of the table beside the old one (VersionedTable). Batches are reduced to one row for each key before the join, with
 aggregates that combine on the map side, so a key that holds a large part of a batch costs no hot task.
 """
 
 from __future__ import annotations
 
+import json
+import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from quillmesh.operators.frequency import join_frequencies
+from quillmesh.session import Workspace
 
 Rule = Callable[[Column, Column, Column], Column]
 """(old value, new value, whether the key is in the new batch) -> merged value."""
@@ -112,13 +119,19 @@ def fold_fetches(log: DataFrame, stored: DataFrame, key: str = "url") -> DataFra
 
 
 def fetch_tallies(log: DataFrame, stored: DataFrame, key: str = "url") -> DataFrame:
-    """outcome, n: how many outcomes were ok, failed, or kept_ok - a failure after a page was already held, by an earlier outcome or before."""
+    """outcome, n: how many outcomes were ok, failed, or kept_ok - a failure after a page was already held, by an earlier outcome or before. A
+    key with a large part of the log is dealt out over parts."""
+    rows = log.where(f"`{key}` is not null")
     good = F.col("ok") & F.col("payload").isNotNull() & (F.col("payload") != "")
-    first = log.where(good & F.col(key).isNotNull()).groupBy(key).agg(F.min("seq").alias("__first"))
+    work = Workspace(log.sparkSession, "tallies")
+    per = rows.groupBy(key).agg(F.min(F.when(good, F.col("seq"))).alias("__first"), F.count_if(good).alias("__ok"), F.count(F.lit(1)).alias("__n"))
     held = stored.where("scrape_status = 'ok' and payload is not null").select(key, F.lit(True).alias("__held")).distinct()
-    j = log.where(f"`{key}` is not null").join(first, key, "left").join(held, key, "left")
-    kept = F.col("__held").isNotNull() | (F.col("__first") < F.col("seq"))
-    return j.groupBy(F.when(good, "ok").when(F.coalesce(kept, F.lit(False)), "kept_ok").otherwise("failed").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    per = work.write(per.join(held, key, "left"), "per")
+    failed = rows.where(~F.coalesce(good, F.lit(False))).select(key, "seq")
+    later = join_frequencies(failed, per.where("__held or __first is not null"), key, "__n").where("__held or __first < seq")
+    totals = per.agg(F.coalesce(F.sum("__ok"), F.lit(0)).alias("ok"), F.coalesce(F.sum(F.col("__n") - F.col("__ok")), F.lit(0)).alias("bad")).crossJoin(later.agg(F.count(F.lit(1)).alias("kept_ok")))
+    told = F.array(*(F.struct(F.lit(name).alias("outcome"), n.alias("n")) for name, n in (("ok", F.col("ok")), ("kept_ok", F.col("kept_ok")), ("failed", F.col("bad") - F.col("kept_ok")))))
+    return totals.select(F.explode(told).alias("t")).select("t.outcome", "t.n").where("n > 0")
 
 
 def dead_letters(failures: DataFrame, batch: DataFrame, resolved: DataFrame, at: Column, most_error: int = 2000, key: str = "url") -> DataFrame:
@@ -129,48 +142,110 @@ def dead_letters(failures: DataFrame, batch: DataFrame, resolved: DataFrame, at:
 
 
 class VersionedTable:
-    """A table kept as versions in one folder: v=1, v=2, ... A version counts once it is written whole (its _SUCCESS is there), so a merge
-    that fails leaves the table as it was, and readers of the old version aren't disturbed."""
+    """A table kept as versions in one folder that all executors share.
+
+    data/<id>/bucket=<b> hold rows; versions/<n>.json names the data that each bucket of version n has, the schema, the key that buckets
+    are made by, and the last batch of each stream that was merged. A version counts once its file is there, and the file is created
+    only if it isn't there: a merge that fails leaves the table as it was, readers of an older version aren't disturbed, and of two
+    writers one gets an error. A merge rewrites only the buckets that its batch touches. A bucket holds about BYTES of data at most:
+    the number of buckets doubles with the table.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    BYTES = 128 << 20
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 4):
+        self.spark, self.path, self.least_buckets = spark, path, buckets
+
+    def _at(self, *names: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *names)))
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def version(self) -> int:
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return 0
-        names = [x.getPath().getName() for x in fs.listStatus(root)]
-        return max((int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}/_SUCCESS"))), default=0)
+        folder, fs = self._at("versions")
+        names = [x.getPath().getName() for x in fs.listStatus(folder)] if fs.exists(folder) else []
+        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), default=0)
+
+    def _manifest(self, version: int) -> dict:
+        path, fs = self._at("versions", f"{version}.json")
+        stream = fs.open(path)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _commit(self, version: int, manifest: dict) -> int:
+        """The file is written under a name of its own and renamed, which fails where another writer was first."""
+        own, fs = self._at("versions", f"_{uuid.uuid4().hex}")
+        stream = fs.create(own, False)
+        stream.write(bytearray(json.dumps(manifest).encode()))
+        stream.close()
+        target, _ = self._at("versions", f"{version}.json")
+        if fs.exists(target) or not fs.rename(own, target):
+            fs.delete(own, False)
+            raise RuntimeError(f"{self.path}: another writer has made version {version}")
+        return version
+
+    def _rows(self, manifest: dict, buckets: list[str] | None = None, outcome: bool = False) -> DataFrame:
+        held = {b: d for b, d in manifest["data"].items() if buckets is None or b in buckets}
+        schema = StructType.fromJson(manifest["schema"])
+        if outcome:
+            schema = StructType([*schema.fields, StructField("__outcome", StringType())])
+        if not held:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.path}/data/{d}/bucket={b}" for b, d in held.items()))
 
     def read(self) -> DataFrame:
         v = self.version()
         if not v:
             raise FileNotFoundError(f"{self.path} has no version yet")
-        return self.spark.read.parquet(f"{self.path}/v={v}")
+        return self._rows(self._manifest(v))
+
+    def _store(self, rows: DataFrame, key: str | None, buckets: int) -> dict[str, str]:
+        """Writes rows once, by bucket; the new data of each bucket that has rows."""
+        name = uuid.uuid4().hex[:12]
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int") if key else F.lit(0)
+        placed = rows.withColumn("bucket", bucket)
+        (placed.repartition("bucket") if key else placed).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/{name}")
+        root, fs = self._at("data", name)
+        return {n.split("=")[1]: name for n in (x.getPath().getName() for x in fs.listStatus(root)) if n.startswith("bucket=")}
 
     def write(self, df: DataFrame) -> int:
-        v = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/v={v}")
-        return v
+        """The whole table anew."""
+        v = self.version()
+        applied = self._manifest(v)["applied"] if v else {}
+        return self._commit(v + 1, {"key": None, "buckets": 1, "schema": df.schema.jsonValue(), "data": self._store(df, None, 1), "applied": applied})
 
     def write_empty_if_new(self, like: DataFrame) -> None:
         if not self.version():
-            self.write(self.spark.createDataFrame([], like.schema))
+            self._commit(1, {"key": None, "buckets": 1, "schema": like.schema.jsonValue(), "data": {}, "applied": {}})
+
+    def applied(self, source: str) -> int:
+        """The last batch of a stream that the table has, -1 for none."""
+        v = self.version()
+        return self._manifest(v)["applied"].get(source, -1) if v else -1
 
-    def merge(self, batch: DataFrame, key: str, rules: dict[str, Rule], insert: bool = True) -> dict[str, int]:
-        """Writes the merged table and returns how many keys were added and updated."""
+    def merge(self, batch: DataFrame, key: str, rules: dict[str, Rule], insert: bool = True, source: tuple[str, int] | None = None) -> dict[str, int]:
+        """Writes the touched buckets of the merged table and returns how many keys were added and updated. source: (stream, batch); a
+        batch of a stream that isn't later than the last one merged changes nothing."""
         self.write_empty_if_new(batch)
-        v = self.write_outcome(keyed_merge(self.read(), batch, key, rules, insert))
-        counts = {r[0]: r[1] for r in self.spark.read.parquet(f"{self.path}/v={v}.outcome").collect()}  # three rows
+        v = self.version()
+        old = self._manifest(v)
+        if source and old["applied"].get(source[0], -1) >= source[1]:
+            return {"added": 0, "updated": 0}
+        size = sum((lambda path, fs: fs.getContentSummary(path).getLength())(*self._at("data", d, f"bucket={b}")) for b, d in old["data"].items())
+        buckets = max(self.least_buckets, 1 << max(0, math.ceil(size / self.BYTES) - 1).bit_length())
+        new = batch.where(F.col(f"`{key}`").isNotNull())
+        if old["key"] == key and old["buckets"] >= buckets:
+            buckets = old["buckets"]
+            # a number for each bucket at most
+            touched = [str(r[0]) for r in new.select(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("b")).distinct().collect()]
+        else:
+            touched = None
+        merged = keyed_merge(self._rows(old, touched), new, key, rules, insert)
+        stored = self._store(merged, key, buckets)
+        data = stored if touched is None else {b: d for b, d in old["data"].items() if b not in touched} | stored
+        schema = merged.drop("__outcome").schema.jsonValue()
+        manifest = {"key": key, "buckets": buckets, "schema": schema, "data": data, "applied": old["applied"] | ({source[0]: source[1]} if source else {})}
+        counts = {r[0]: r[1] for r in self._rows(manifest | {"data": stored}, outcome=True).groupBy("__outcome").count().collect()}  # three rows
+        self._commit(v + 1, manifest)
         return {"added": counts.get("added", 0), "updated": counts.get("updated", 0)}
-
-    def write_outcome(self, merged: DataFrame) -> int:
-        v = self.version() + 1
-        staged = f"{self.path}/_staged"
-        merged.write.mode("overwrite").parquet(staged)
-        done = self.spark.read.parquet(staged)
-        done.groupBy("__outcome").count().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/v={v}.outcome")
-        done.drop("__outcome").write.mode("overwrite").parquet(f"{self.path}/v={v}")
-        return v

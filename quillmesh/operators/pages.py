@@ -130,8 +130,9 @@ def page_meta(pages: DataFrame, key: str = "dom_id") -> DataFrame:
     return spread(pages.select(key, "html")).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, name string, content string")
 
 
-def structure_tokens(pages: DataFrame, key: str = "dom_id", most_nodes: int = 30_000, most_depth: int = 60, most_classes: int = 3) -> DataFrame:
-    """key, tokens, n_tokens, n_unique_tokens, n_nodes, max_depth, error of each page; an empty page or one that fails has an error and no tokens."""
+def structure_tokens(pages: DataFrame, key: str = "dom_id", most_nodes: int | None = 30_000, most_depth: int | None = 60, most_classes: int | None = 3) -> DataFrame:
+    """key, tokens, n_tokens, n_unique_tokens, n_nodes, max_depth, truncated, error of each page; truncated tells that the page has elements beyond
+    the bounds (None sets no bound). An empty page or one that fails has an error and no tokens."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -140,11 +141,11 @@ def structure_tokens(pages: DataFrame, key: str = "dom_id", most_nodes: int = 30
                 try:
                     if not h or not h.strip():
                         raise ValueError("empty page")
-                    t, n, d = dom.structure(h, most_nodes, most_depth, most_classes)
-                    rows.append((k, t, sum(t.values()), len(t), n, d, None))
+                    t, n, d, cut = dom.structure(h, most_nodes, most_depth, most_classes)
+                    rows.append((k, t, sum(t.values()), len(t), n, d, cut, None))
                 except Exception as e:  # noqa: BLE001
-                    rows.append((k, None, None, None, None, None, str(e)))
-            out = pd.DataFrame(rows, columns=[key, "tokens", "n_tokens", "n_unique_tokens", "n_nodes", "max_depth", "error"])
+                    rows.append((k, None, None, None, None, None, None, str(e)))
+            out = pd.DataFrame(rows, columns=[key, "tokens", "n_tokens", "n_unique_tokens", "n_nodes", "max_depth", "truncated", "error"])
             yield out.astype({c: "Int32" for c in ("n_tokens", "n_unique_tokens", "n_nodes", "max_depth")})
 
-    return spread(pages.select(key, "html")).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, tokens map<string,int>, n_tokens int, n_unique_tokens int, n_nodes int, max_depth int, error string")
+    return spread(pages.select(key, "html")).mapInPandas(run, f"{key} {pages.schema[key].dataType.simpleString()}, tokens map<string,int>, n_tokens int, n_unique_tokens int, n_nodes int, max_depth int, truncated boolean, error string")

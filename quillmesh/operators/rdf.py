@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,8 +33,35 @@ def shape(triples: DataFrame, threshold: float = 0.25) -> DataFrame:
     return out.where(F.col("share") >= threshold).withColumn("everywhere", F.col("share") == 1.0)
 
 
+_KINDS = (("integer", r'^"?[+-]?\d+"?(\^\^.*)?$'), ("decimal", r'^"?[+-]?\d*\.\d+"?(\^\^.*)?$'), ("text", r'^"'), ("name", r"^(?:https?:|urn:|_:)"))
+
+
+def value_kinds(triples: DataFrame) -> DataFrame:
+    """p, kind of the values of each predicate: integer, decimal (integers among them), text, name (a resource), or any where they differ."""
+    each = F.coalesce(*(F.when(F.col("o").rlike(pattern), F.lit(kind)) for kind, pattern in _KINDS), F.lit("text"))
+    sets = triples.select("p", each.alias("k")).groupBy("p").agg(F.array_sort(F.collect_set("k")).alias("k"))
+    one = F.when(F.size("k") == 1, F.get("k", F.lit(0))).when(F.col("k") == F.array(F.lit("decimal"), F.lit("integer")), F.lit("decimal"))
+    return sets.select("p", F.coalesce(one, F.lit("any")).alias("kind"))
+
+
+def _text(shapes: DataFrame, line: Column, head: str, tail: str) -> DataFrame:
+    """One row, text: a line for each predicate, in order, between head and tail. A class has as many predicates as its vocabulary."""
+    listed = shapes.select(F.struct("p", line.alias("line")).alias("l")).agg(F.array_sort(F.collect_list("l")).alias("l"))
+    return listed.select(F.concat(F.lit(head + "\n"), F.array_join(F.col("l.line"), "\n"), F.lit("\n" + tail)).alias("text"))
+
+
 def shex(shapes: DataFrame, name: str) -> DataFrame:
-    """text: the shape in ShEx, a line for each predicate in order."""
+    """text: the shape in ShEx, a line for each predicate in order; with the kinds of values where the shapes have a column kind."""
     count = F.when(F.col("most") == 1, F.when(F.col("everywhere"), "").otherwise("?")).otherwise(F.when(F.col("everywhere"), "+").otherwise("*"))
-    lines = shapes.select(F.struct("p", F.format_string("  <%s> . %s ;", "p", count).alias("line")).alias("l")).agg(F.array_sort(F.collect_list("l")).alias("l"))
-    return lines.select(F.concat(F.lit(f"<{name}> {{\n"), F.array_join(F.col("l.line"), "\n"), F.lit("\n}")).alias("text"))
+    kinds = {"integer": "xsd:integer", "decimal": "xsd:decimal", "text": "LITERAL", "name": "IRI"}
+    value = F.coalesce(*(F.when(F.col("kind") == k, F.lit(v)) for k, v in kinds.items()), F.lit(".")) if "kind" in shapes.columns else F.lit(".")
+    return _text(shapes, F.format_string("  <%s> %s %s ;", "p", value, count), f"<{name}> {{", "}")
+
+
+def shacl(shapes: DataFrame, name: str, target: str) -> DataFrame:
+    """text: the shape in SHACL (Turtle): for each predicate how many values a member has at least and at most, and their kind."""
+    kinds = {"integer": " ; sh:datatype xsd:integer", "decimal": " ; sh:datatype xsd:decimal", "text": " ; sh:nodeKind sh:Literal", "name": " ; sh:nodeKind sh:IRI"}
+    value = F.coalesce(*(F.when(F.col("kind") == k, F.lit(v)) for k, v in kinds.items()), F.lit("")) if "kind" in shapes.columns else F.lit("")
+    least = F.when(F.col("everywhere"), F.format_string(" ; sh:minCount %d", "least")).otherwise("")
+    line = F.format_string("  sh:property [ sh:path <%s>%s%s%s ] ;", "p", least, F.format_string(" ; sh:maxCount %d", "most"), value)
+    return _text(shapes, line, f"<{name}> a sh:NodeShape ;\n  sh:targetClass <{target}> ;", "  sh:closed false .")

@@ -8,6 +8,9 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType
+
+from quillmesh.operators.select import numbered
 
 
 def counts(df: DataFrame, **conditions: Column) -> DataFrame:
@@ -23,11 +26,6 @@ def label_or_unknown(c: Column) -> Column:
     return F.coalesce(F.nullif(c, F.lit("")), F.lit("unknown"))
 
 
-def totals_by_key(df: DataFrame, values: str) -> DataFrame:
-    """key, total: the sums by key of a column of maps."""
-    return df.select(F.explode(values).alias("key", "value")).groupBy("key").agg(F.sum("value").alias("total"))
-
-
 def coverage(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
     """field, hits, share: how many rows have something in each field."""
     n = F.count(F.lit(1)).alias("n")
@@ -35,13 +33,28 @@ def coverage(df: DataFrame, fields: dict[str, Column]) -> DataFrame:
     return one.select("n", F.explode(F.array(*(F.struct(F.lit(k).alias("field"), F.col(k).alias("hits")) for k in fields))).alias("f")).select("f.field", "f.hits", F.when(F.col("n") > 0, F.bround(F.col("f.hits") / F.col("n"), 4)).alias("share"))
 
 
+def parse_report(entries: DataFrame, failures: DataFrame, headings: int = 15, examples: int = 10) -> dict:
+    """What a parse has found: the share of entries that have each field, the sections of each kind, the most frequent headings of no known
+    kind, what entries lack for the gate, and some failures. entries and failures: as pages.entries_and_failures gives them."""
+    has = {f.name: (F.size(f.name) > 0) if isinstance(f.dataType, (ArrayType, MapType)) else F.col(f.name).isNotNull() & (F.col(f.name).cast("string") != "") for f in entries.schema}
+    shares = {r["field"]: r["share"] for r in coverage(entries, has).collect()}  # a row for each field
+    sections = entries.select(F.explode("sections").alias("s")).select("s.kind", "s.heading")
+    kinds = {r[0]: r[1] for r in by_group(sections, F.col("kind")).collect()}
+    other = by_group(sections.where("kind = 'other'"), F.col("heading")).orderBy(F.col("n").desc(), "heading").limit(headings)
+    missing = by_group(entries.select(F.explode("corpus_missing").alias("field")), F.col("field"))
+    return {
+        "entries": entries.count(), "coverage": shares, "section_kinds": kinds, "unknown_headings": {r[0]: r[1] for r in other.collect()}, "missing": {r[0]: r[1] for r in missing.collect()},
+        "failures": failures.count(), "examples": [(r[0], r[1]) for r in failures.select("url", "error").orderBy("url").limit(examples).collect()],
+    }
+
+
 def top_with_rest(df: DataFrame, group: list[str], name: str, value: str, k: int) -> DataFrame:
     """group, name, value, rank: the k greatest of each group (ties by name) and, if there are more, their rest as one row with their number
-    in its name and rank k + 1."""
+    in its name and rank k + 1. Of a group only its k greatest are ranked; the rest is what the group's sum has beyond them."""
     order = Window.partitionBy(*group).orderBy(F.col(value).desc(), F.col(name))
-    r = df.withColumn("rank", F.row_number().over(order))
-    head = r.where(F.col("rank") <= k).select(*group, name, value, "rank")
-    rest = r.where(F.col("rank") > k).groupBy(*group).agg(F.count(F.lit(1)).alias("__n"), F.sum(value).alias(value))
+    head = df.select(*group, name, value).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    signed = df.select(*group, F.lit(1).alias("__n"), F.col(value).alias(value)).unionByName(head.select(*group, F.lit(-1).alias("__n"), (-F.col(value)).alias(value)))
+    rest = signed.groupBy(*group).agg(F.sum("__n").alias("__n"), F.sum(value).alias(value)).where("__n > 0")
     rest = rest.select(*group, F.concat(F.lit("(+"), F.col("__n").cast("string"), F.lit(" more)")).alias(name), value, F.lit(k + 1).alias("rank"))
     return head.unionByName(rest)
 
@@ -56,17 +69,14 @@ def flatten(df: DataFrame, key: str, summary: str, most_series: int = 8) -> Data
     in ('' for the root). trend is false for the members of an object of numbers only with more than most_series members: these make a
     chart of their own but no series. Booleans, texts, lists and nulls are no leaves; text that isn't a JSON object gives no rows."""
 
-    def walk(o: dict, prefix: str) -> Iterator[tuple[str, str, str, float, bool]]:
-        numeric = lambda v: isinstance(v, (int, float)) and not isinstance(v, bool)
-        for k, v in o.items():
-            if numeric(v):
-                yield prefix + k, prefix[:-1], k, float(v), True
-            elif isinstance(v, dict) and v:
-                if all(map(numeric, v.values())):
-                    for name, x in v.items():
-                        yield f"{prefix}{k}.{name}", prefix + k, name, float(x), len(v) <= most_series
-                else:
-                    yield from walk(v, f"{prefix}{k}.")
+    def leaves(o: dict) -> Iterator[tuple[str, str, str, float, bool]]:
+        members = [((), o)]
+        for path, inner in members:  # grows while it is read: every object is looked at once, outer ones first
+            numbers = {k: float(v) for k, v in inner.items() if type(v) in (int, float)}
+            members += [((*path, k), v) for k, v in inner.items() if isinstance(v, dict)]
+            series = not path or len(numbers) < len(inner) or len(inner) <= most_series
+            for k, v in numbers.items():
+                yield ".".join((*path, k)), ".".join(path), k, v, series
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -77,7 +87,7 @@ def flatten(df: DataFrame, key: str, summary: str, most_series: int = 8) -> Data
                 except ValueError:
                     o = None
                 if isinstance(o, dict):
-                    rows += [(k, *leaf) for leaf in walk(o, "")]
+                    rows += [(k, *leaf) for leaf in leaves(o)]
             yield pd.DataFrame(rows, columns=[key, "path", "grp", "name", "value", "trend"])
 
     return df.select(key, summary).mapInPandas(parse, f"{key} {df.schema[key].dataType.simpleString()}, path string, grp string, name string, value double, trend boolean")
@@ -96,8 +106,9 @@ def trend_series(points: DataFrame, most: int = 10) -> DataFrame:
     return out.join(scale, "grp").select("grp", "path", "at", "value", F.coalesce("log_scale", F.lit(False)).alias("log_scale"))
 
 
-def snapshot(df: DataFrame, order: list[Column]) -> DataFrame:
-    """One row: the table as one JSON text with its number of rows. For exports of bounded size only - everything comes into one value."""
-    rows = df.select(F.struct(*(F.struct(c.alias(f"o{i}")) for i, c in enumerate(order))).alias("__o"), F.struct(*df.columns).alias("__r"))
-    listed = rows.agg(F.array_sort(F.collect_list(F.struct("__o", "__r"))).alias("l"))
-    return listed.select(F.to_json(F.struct(F.struct(F.size("l").alias("total")).alias("metadata"), F.col("l.__r").alias("rows"))).alias("json"))
+def snapshot(df: DataFrame, order: list[str]) -> DataFrame:
+    """place, json: an export of a table, one JSON text for each row in the given order, and before them, as place -1, the number of rows. No
+    row waits for another: places come from ranges and their sizes."""
+    placed = numbered(df, order, "place")
+    rows = placed.select("place", F.to_json(F.struct(*df.columns)).alias("json"))
+    return df.agg(F.to_json(F.struct(F.count(F.lit(1)).alias("total"))).alias("json")).select(F.lit(-1).cast("bigint").alias("place"), "json").unionByName(rows)

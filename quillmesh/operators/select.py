@@ -26,10 +26,12 @@ def in_namespaces(df: DataFrame, names: list[str] | None, column: str = "namespa
     c = F.col(column)
     fits = [c.isNull() if n == "unknown" else (c == n) | c.startswith(n + "/") for n in names]
     if check:
-        found = df.agg(*(F.coalesce(F.max(F.coalesce(f, F.lit(False))), F.lit(False)).alias(f"f{i}") for i, f in enumerate(fits))).first()
-        missing = [n for i, n in enumerate(names) if not found[i]]
-        if missing:
-            raise ValueError(f"no rows in the namespaces {missing}")
+        n, *found = df.agg(F.count(F.lit(1)), *(F.count_if(F.coalesce(f, F.lit(False))) for f in fits)).first()
+        if n and not all(found):
+            counts = ", ".join(f"{name}: {k}" for name, k in zip(names, found, strict=True))
+            raise ValueError(f"the namespace filter fits no row for some names; of {n} rows {counts}")
+        if not n:
+            raise ValueError(f"the namespace filter {names} has no rows to choose from")
     out = fits[0]
     for f in fits[1:]:
         out = out | f

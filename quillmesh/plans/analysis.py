@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.operators import clustering, features, merge, rdf
+from quillmesh.operators.select import numbered
 from quillmesh.plans.problems import read
 from quillmesh.session import shared_folder
 from quillmesh.streaming import stages
@@ -83,6 +84,66 @@ def cluster_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.sweep(tokens, "feature_id", configs).select("place", "k", "n_clusters", "n_docs", "n_features", "silhouette", "davies_bouldin")
 
 
+def _blobs(spark: SparkSession, sf_dir: str, groups: int = 6) -> DataFrame:
+    """The customers as points around one corner of a cube for each group."""
+    c = read(spark, sf_dir, "customer").where("c_custkey is not null")
+    near = lambda d: F.pmod(F.xxhash64(F.lit(d), "c_custkey"), F.lit(1000)) / 5000.0
+    corner = [F.when(F.pmod(F.shiftright(F.col("c_custkey") % groups + 1, d), F.lit(2)) == 1, 10.0).otherwise(0.0) + near(d) for d in range(3)]
+    return c.select("c_custkey", F.array(*corner).alias("vector"))
+
+
+def _rooted(labels: DataFrame, key: str) -> DataFrame:
+    """Labels by the smallest key of each cluster, whatever their numbers."""
+    return labels.join(labels.groupBy("label").agg(F.min(key).alias("root")), "label").select(key, "root")
+
+
+def kmeans_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points around six corners fall into the six groups they were made from."""
+    return _rooted(clustering.kmeans(_blobs(spark, sf_dir), "c_custkey", 6), "c_custkey")
+
+
+def hdbscan_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by density."""
+    return _rooted(clustering.hdbscan(_blobs(spark, sf_dir), "c_custkey", min_cluster_size=10), "c_custkey")
+
+
+def _party_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read(spark, sf_dir, "supplier").where("s_suppkey is not null")
+    words = F.array(*(F.concat(F.lit(n), (F.col(c) % m).cast("string")) for n, c, m in (("a", "s_nationkey", 5), ("b", "s_nationkey", 5), ("c", "s_suppkey", 3))))
+    return s.select("s_suppkey", F.explode(words).alias("token"), F.lit(1).alias("count")).where("token is not null")
+
+
+def svd_cosines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reduced to as many components as the weights have, records keep their cosines; here those of neighbours."""
+    points, *_ = clustering.svd(features.tfidf(_party_tokens(spark, sf_dir), "s_suppkey"), "s_suppkey", 12)
+    other = points.select((F.col("s_suppkey") - 1).alias("s_suppkey"), F.col("vector").alias("w"))
+    dot = F.aggregate(F.zip_with("vector", "w", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    return points.join(other, "s_suppkey").select("s_suppkey", F.round(dot, 5).alias("cosine"))
+
+
+def model_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a run, given to the kept model as new ones, go to the cluster they are in."""
+    tokens = _party_tokens(spark, sf_dir)
+    config = clustering.Config(algorithm="kmeans", k=5, components=8)
+    reduced = clustering.reduce_tokens(tokens, "s_suppkey", config)
+    done, _ = clustering.run(tokens, "s_suppkey", config, reduced)
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex[:12]}"
+    clustering.model_of(done, reduced[2]).save(path)
+    found = clustering.Model.load(spark, path).assign(tokens, "s_suppkey")
+    return found.join(done.select("s_suppkey", F.col("label").alias("own")), "s_suppkey").select("s_suppkey", (F.col("label") == F.col("own")).alias("same"))
+
+
+def cluster_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clusters of each run in the order of reports."""
+    f = read(spark, sf_dir, "dom_features").where("cluster_id is not null and cluster_run_id is not null")
+    sizes = f.groupBy("cluster_run_id", F.col("cluster_id").alias("label")).agg(F.count(F.lit(1)).alias("size"))
+    out = None
+    for run in [r[0] for r in sizes.select("cluster_run_id").distinct().orderBy("cluster_run_id").collect()]:  # a row for each run
+        one = numbered(clustering.by_size(sizes.where(F.col("cluster_run_id") == run)).withColumn("__noise", F.col("label") == clustering.NOISE).withColumn("__less", -F.col("size")), ["__noise", "__less", "label"], "place").drop("__noise", "__less")
+        out = one if out is None else out.unionByName(one)
+    return sizes.withColumn("place", F.lit(0).cast("bigint")).limit(0) if out is None else out
+
+
 def cluster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features by extractor version and cluster run, with the namespaces of their pages' urls."""
     f = read(spark, sf_dir, "dom_features")
@@ -151,7 +212,7 @@ def star_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FUNCTIONS = (
-    token_df, token_tfidf, structure_tfidf, top_tokens, kmeans_embeddings, hdbscan_embeddings, davies_bouldin, stratified_silhouette, stratified_silhouette_default, cluster_medoid, cluster_samples, template_clusters, cluster_sweep, cluster_stats, cluster_namespaces, rdf_shape, rdf_optional, rdf_shex, stream_merge, stream_windows, star_revenue,
+    token_df, token_tfidf, structure_tfidf, top_tokens, kmeans_embeddings, hdbscan_embeddings, davies_bouldin, stratified_silhouette, stratified_silhouette_default, cluster_medoid, cluster_samples, kmeans_blobs, hdbscan_blobs, svd_cosines, model_assign, cluster_order, template_clusters, cluster_sweep, cluster_stats, cluster_namespaces, rdf_shape, rdf_optional, rdf_shex, stream_merge, stream_windows, star_revenue,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS}
 
@@ -159,7 +220,15 @@ _WORDS = "w as (select doc_id, token, count(*) as c from (select doc_id, unnest(
 _DIM = "e as (select vec_id, label, unnest(embedding)::double as x, unnest(range(1, len(embedding) + 1)) as d from embeddings where label <> -1), c as (select label, d, avg(x) as m from e group by all)"
 _DIST = f"{_DIM}, t as (select e.vec_id, e.label, sqrt(sum((e.x - c.m) ** 2)) as r from e join c using (label, d) group by all)"
 _TRIPLES = "t as (select 'c' || c_custkey as s, 'is' as p, 'customer' as o from customer union all select 'c' || c_custkey, 'nation', c_nationkey::varchar from customer union all select 'c' || c_custkey, 'debt', 'x' from customer where c_acctbal < 0 union all select 's' || s_suppkey, 'is', 'supplier' from supplier union all select 's' || s_suppkey, 'nation', s_nationkey::varchar from supplier union all select 'c' || o_custkey, 'order', o_orderkey::varchar from orders)"
+_GROUP = "g as (select c_custkey, c_custkey % 6 as g from customer where c_custkey is not null), h as (select g, min(c_custkey) as root from g group by g) select c_custkey, root from g join h using (g)"
+_PARTY = "p as (select s_suppkey, unnest(['a' || s_nationkey % 5, 'b' || s_nationkey % 5, 'c' || s_suppkey % 3]) as token from supplier where s_suppkey is not null), q as (select * from p where token is not null), n as (select count(distinct s_suppkey)::double as n from q), d as (select token, count(*) as df from q group by token having count(*) >= 2), r as (select s_suppkey, token, ln((1 + n) / (1 + df)) + 1 as v from q join d using (token), n), w as (select s_suppkey, token, v / sqrt(sum(v * v) over (partition by s_suppkey)) as w from r)"
 ORACLES = {
+    "kmeans_blobs": f"with {_GROUP}",
+    "hdbscan_blobs": f"with {_GROUP}",
+    "svd_cosines": f"with {_PARTY}, k as (select distinct s_suppkey from w) select k.s_suppkey, round(coalesce((select sum(a.w * b.w) from w a join w b on a.token = b.token where a.s_suppkey = k.s_suppkey and b.s_suppkey = k.s_suppkey + 1), 0), 5) as cosine from k where s_suppkey + 1 in (select s_suppkey from k)",
+    "model_assign": f"with {_PARTY} select distinct s_suppkey, true as same from w",
+    "cluster_order": "with s as (select cluster_run_id, cluster_id as label, count(*) as size from dom_features where cluster_id is not null and cluster_run_id is not null group by all) select *, row_number() over (partition by cluster_run_id order by label = -1, size desc, label) - 1 as place from s",
+    "rdf_shex": f"with {_TRIPLES}, k as (select s, p, count(*) as c from t group by all), g as (select p, count(*) / (select count(distinct s) from t)::double as share, min(c) as least, max(c) as most from k group by p), l as (select '  <' || p || '> . ' || case when most = 1 then case when share = 1.0 then '' else '?' end else case when share = 1.0 then '+' else '*' end end || ' ;' as line, p from g where share >= 0.05) select '<Party> {{' || chr(10) || string_agg(line, chr(10) order by p) || chr(10) || '}}' as text from l",
     "token_df": f"with {_WORDS} select token, df from d",
     "token_tfidf": f"with {_WORDS}, r as (select doc_id, token, (1 + ln(c)) * (ln((1 + n) / (1 + df)) + 1) as v from w join d using (token), n) select doc_id, token, round(v / sqrt(sum(v * v) over (partition by doc_id)), 6) as weight from r",
     "structure_tfidf": "with o as (select feature_id, unnest(map_entries(tokens)) as e from dom_features where feature_id is not null), w as (select feature_id, e.key as token from o where e.value > 0), n as (select count(distinct feature_id)::double as n from w), d as (select token, count(*) as df from w group by token having count(*) >= 2), r as (select feature_id, token, ln((1 + n) / (1 + df)) + 1 as v from w join d using (token), n) select feature_id, token, round(v / sqrt(sum(v * v) over (partition by feature_id)), 6) as weight from r",

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmesh.functions.timestamps import CANONICAL, add_utc_micros, known_zones
-from quillmesh.operators.incremental import Ledger, good_fetches, pending_stages
-from quillmesh.session import shared_folder
+from quillmesh.operators.incremental import Ledger, changed_states, good_fetches, stages_of
+from quillmesh.session import Workspace, shared_folder
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,14 +34,28 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("utc_micros is not null").select("src_table", "row_id", "field_name", "utc_micros")
 
 
+#: The first of two runs sees what was visible before this time, while a transaction of the month before is open.
+FIRST_RUN, OLDEST_OPEN = datetime(2026, 1, 1, tzinfo=timezone.utc), datetime(2025, 12, 2, tzinfo=timezone.utc)
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The urls to fetch and to parse. The tables hold no commit of an earlier selection, so this is a first run: its horizon is
-    open and it reads all rows; the ledger is what the succeeded runs have written."""
-    zones = known_zones(spark)
-    urls = add_utc_micros(read(spark, sf_dir, "urls").select("url", "confirmed", "lastmod"), "lastmod_us", F.col("lastmod"), F.lit("UTC"), zones)
-    fetches = with_zone(good_fetches(read(spark, sf_dir, "doms")), read(spark, sf_dir, "workers"))
-    fetches = add_utc_micros(fetches, "fetched_us", F.col("fetched_at"), F.col("worker_zone"), zones)
-    return pending_stages(urls, fetches, read(spark, sf_dir, "entries"), read(spark, sf_dir, "run_summaries"))
+    """The urls to fetch and to parse, after two runs through the ledger. The first decides on what was there before FIRST_RUN and commits the
+    states it has seen; the second rereads from the oldest transaction that was open then, drops by the ledger what it has seen in this
+    state already, and decides on the rest. A url that the second doesn't decide on keeps what the first has decided."""
+    zones, workers = known_zones(spark), read(spark, sf_dir, "workers")
+    urls = add_utc_micros(read(spark, sf_dir, "urls").select("url", "confirmed", "lastmod", "discovered_at"), "lastmod_us", F.col("lastmod"), F.lit("UTC"), zones)
+    fetches = with_zone(good_fetches(read(spark, sf_dir, "doms")), workers)
+    fetches = add_utc_micros(fetches, "fetched_us", F.col("fetched_at"), F.col("worker_zone"), zones).select("dom_id", "url", "version", "fetched_us", "received_at")
+    entries = read(spark, sf_dir, "entries").select("url", "dom_content_sha256", "run_id", "parsed_at", "entry_id")
+    runs = read(spark, sf_dir, "run_summaries").select("run_id", "state", "created_at")
+    work = Workspace(spark, "stages")
+    urls, fetches = work.write(urls.drop("lastmod"), "urls"), work.write(fetches, "fetches")
+    ledger = Ledger(spark, f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex[:12]}", "url string, version string")
+    before = lambda df, at: df.where(F.col(at) < F.lit(FIRST_RUN))
+    first = work.write(changed_states(ledger, before(urls, "discovered_at"), before(fetches, "received_at"), before(entries, "parsed_at"), before(runs, "created_at")), "first")
+    ledger.commit("first", first.select("url", "version"), FIRST_RUN, OLDEST_OPEN)
+    second = work.write(changed_states(ledger, urls, fetches, entries, runs), "second")
+    return stages_of(first.join(second.select("url"), "url", "left_anti").unionByName(second))
 
 
 def p3_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

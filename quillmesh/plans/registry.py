@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillmesh.plans import analysis, columns, pages, problems, state
+from quillmesh.plans import analysis, columns, pages, problems, reading, state
 
-_MODULES = (problems, columns, state, pages, analysis)
+_MODULES = (problems, columns, state, pages, reading, analysis)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

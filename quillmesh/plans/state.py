@@ -200,8 +200,10 @@ def sitemap_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return reports.snapshot(n, [F.col("n_name")])
+    """All urls as an export, by namespace and url."""
+    u = read(spark, sf_dir, "urls").where("url is not null and url_id is not null")
+    u = u.select(F.coalesce("namespace", F.lit("unknown")).alias("namespace"), "url", "url_id", F.coalesce("confirmed", F.lit(False)).alias("confirmed"))
+    return reports.snapshot(u, ["namespace", "url", "url_id"])
 
 
 _FUNCTIONS = (
@@ -267,6 +269,8 @@ g as (select grp, coalesce(max(case when value > 0 then value end) / min(case wh
 select grp, path, "at", value, log_scale from o join g using (grp)""",
         "taxonomy_prefixes": f"with s as (select {_SEGS} as g from (select distinct url from urls)), p as (select array_to_string(g[:len(g) - 1], '/') as label from s where len(g) >= 2) select '/' || label || '/' as prefix, label, count(*) as n from p group by all having count(*) >= 2",
         "sitemap_reach": "with recursive e as (select 'r' || n_regionkey as parent, 'n' || n_nationkey as child from nation union all select 'n' || c_nationkey, 'c' || c_custkey from customer), t as (select 'r' || r_regionkey as loc from region union select child from t join e on parent = loc) select loc from t",
+        "table_snapshot": """with u as (select coalesce(namespace, 'unknown') as namespace, url, url_id, coalesce(confirmed, false) as confirmed from urls where url is not null and url_id is not null)
+select -1 as place, json_object('total', count(*))::varchar as json from u union all select row_number() over (order by namespace, url, url_id) - 1, json_object('namespace', namespace, 'url', url, 'url_id', url_id, 'confirmed', confirmed)::varchar from u""",
     }
 
 

@@ -36,5 +36,5 @@ def page_of(doms: DataFrame, url: str) -> str | None:
 
 
 def feature_tokens(features: DataFrame, extractor_version: int) -> DataFrame:
-    """url, tokens of one extractor version, by url; rows without tokens are left out."""
-    return features.where((F.col("extractor_version") == extractor_version) & F.col("tokens").isNotNull()).select("url", "tokens").orderBy("url")
+    """url, tokens of one extractor version; rows without tokens are left out."""
+    return features.where((F.col("extractor_version") == extractor_version) & F.col("tokens").isNotNull()).select("url", "tokens")

@@ -10,13 +10,12 @@ from quillmesh.operators.merge import Rule, VersionedTable, last_in_batch
 
 
 def merge_stream(stream: DataFrame, table: VersionedTable, key: str, rules: dict[str, Rule], order: list[str], checkpoint: str) -> StreamingQuery:
-    """Merges each micro-batch into the table and stops when all input that is there is read. The version that a batch makes names the batch, so
-    a batch that is delivered again after a failure is merged once."""
+    """Merges each micro-batch into the table and stops when all input that is there is read. The table keeps the last batch of each stream,
+    named by its checkpoint, with the version that the batch makes: a batch that is delivered again after a failure is merged once,
+    whatever else - other streams, stages - has written to the table."""
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        if table.version() > batch_id + 1:
-            return
-        table.merge(last_in_batch(batch, key, order), key, rules)
+        table.merge(last_in_batch(batch, key, order), key, rules, source=(checkpoint, batch_id))
 
     table.write_empty_if_new(stream)
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

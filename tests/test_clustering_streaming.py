@@ -74,7 +74,7 @@ def test_measures_against_brute_force(spark):
 
 def test_svd_keeps_distances(spark):
     rows = [(i, f"t{j}", float((i * 7 + j * 3) % 5 + 1)) for i in range(12) for j in range(6)]
-    v, kept = clustering.svd(spark.createDataFrame(rows, "id bigint, token string, weight double"), "id", 5)
+    v, kept, _ = clustering.svd(spark.createDataFrame(rows, "id bigint, token string, weight double"), "id", 5)
     got = {r.id: np.array(r.vector) for r in v.collect()}
     m = np.array([[float((i * 7 + j * 3) % 5 + 1) for j in range(6)] for i in range(12)])
     u, s, _ = np.linalg.svd(m, full_matrices=False)
@@ -95,7 +95,7 @@ def test_site_from_a_corpus(spark):
     site = discovery.infer_site(urls)
     assert site.patterns[0] == ("/memes/events/", "memes/events") and ("/memes/trending", False) in site.listings
     assert discovery.infer_site(urls.limit(0)) == discovery.DEFAULT_SITE
-    assert type(site).from_dict(site.to_dict()) == site
+    assert type(site).from_json(site.to_json()) == site
 
 
 def test_sitemap_tree_with_a_loop(spark):

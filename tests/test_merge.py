@@ -38,10 +38,35 @@ def test_versioned_table(spark, tmp_path):
     assert table.merge(one, "k", {"n": merge.added}) == {"added": 1, "updated": 0}
     assert table.merge(spark.createDataFrame([("a", 2), ("b", 1)], "k string, n int"), "k", {"n": merge.added}) == {"added": 1, "updated": 1}
     assert rows(table.read()) == [("a", 3), ("b", 1)]
-    # A version without its marker doesn't count.
-    one.write.parquet(str(tmp_path / "t/v=99"))
-    (tmp_path / "t/v=99/_SUCCESS").unlink()
+    # Data without a version file, as a failed merge leaves it, doesn't count.
+    one.withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(str(tmp_path / "t/data/left"))
     assert rows(table.read()) == [("a", 3), ("b", 1)]
+    # A column that only the batch has; keys of other buckets stay where they are.
+    held = table._manifest(table.version())["data"]
+    assert table.merge(spark.createDataFrame([("c", 1, "x"), (None, 9, "y")], "k string, n int, more string"), "k", {"n": merge.added}) == {"added": 1, "updated": 0}
+    assert rows(table.read()) == [("a", 3, None), ("b", 1, None), ("c", 1, "x")]
+    now = table._manifest(table.version())["data"]
+    assert sum(held.get(b) != d for b, d in now.items()) == 1
+    # Of two writers of one version one fails.
+    v = table.version()
+    with pytest.raises(RuntimeError, match="another writer"):
+        table._commit(v, table._manifest(v))
+    # An update-only merge, and more buckets as the table grows.
+    table.BYTES = 200
+    assert table.merge(spark.createDataFrame([("c", 5), ("q", 1)], "k string, n int"), "k", {}, insert=False) == {"added": 0, "updated": 1}
+    assert table._manifest(table.version())["buckets"] > 4 and rows(table.read()) == [("a", 3, None), ("b", 1, None), ("c", 5, "x")]
+    table.write(table.read().limit(0))
+    assert table.read().count() == 0
+
+
+def test_batches_of_a_stream_count_once(spark, tmp_path):
+    """Also on a table that already has versions of its own and of other streams."""
+    table = merge.VersionedTable(spark, str(tmp_path / "t"))
+    row = lambda n: spark.createDataFrame([("a", n)], "k string, n int")
+    for source, n, want in ((None, 1, 1), (("x", 0), 2, 3), (("y", 0), 3, 6), (("x", 0), 2, 6), (("x", 1), 1, 7), (("y", 0), 3, 7), (None, 1, 8)):
+        table.merge(row(n), "k", {"n": merge.added}, source=source)
+        assert table.read().first().n == want
+    assert table.applied("x") == 1 and table.applied("z") == -1
 
 
 LOG = "url string, seq int, ok boolean, payload string, error string, error_kind string, attempts_used int, at timestamp"
@@ -73,6 +98,18 @@ def test_failed_fetch_never_replaces_a_page(spark):
     assert merge.fetch_tallies(log, stored).first().outcome == "kept_ok"
 
 
+def test_tallies_of_a_hot_url(spark):
+    rows = [("hot", n, n % 7 == 3, "p" if n % 7 == 3 else None) for n in range(300)] + [(f"u{n}", n, n % 2 == 0, "p" if n % 4 == 0 else "") for n in range(100)] + [(None, 1, True, "p")]
+    log = spark.createDataFrame(rows, "url string, seq int, ok boolean, payload string")
+    stored = spark.createDataFrame([("u1", "ok", "p"), ("u2", "failed", "p"), ("u3", "ok", None), ("hot", "failed", None)], "url string, scrape_status string, payload string")
+    want, held = {"ok": 0, "kept_ok": 0, "failed": 0}, {"u1"}
+    for url, _, ok, payload in sorted(rows[:-1], key=lambda r: r[1]):
+        good = ok and bool(payload)
+        want["ok" if good else "kept_ok" if url in held else "failed"] += 1
+        held |= {url} if good else set()
+    assert {r.outcome: r.n for r in merge.fetch_tallies(log, stored).collect()} == want
+
+
 def test_dead_letters(spark):
     old = spark.createDataFrame([("a", "e", "T", "s", T, 1), ("b", "e", "T", "s", T, 1)], "url string, error string, error_type string, content_sha256 string, failed_at timestamp, attempts int")
     batch = spark.createDataFrame([("a", "x" * 5000, "U", "s2"), ("c", None, None, None)], "url string, error string, error_type string, content_sha256 string")
@@ -93,8 +130,8 @@ def test_namespace_filter(spark):
     assert select.namespace_names(" 'a', \"b/c\" ,") == ["a", "b/c"] and select.namespace_names("") is None and select.namespace_names(["x"]) == ["x"]
     df = spark.createDataFrame([("memes",), ("memes/events",), ("memesque",), (None,)], "namespace string")
     assert select.in_namespaces(df, ["memes"]).count() == 2 and select.in_namespaces(df, ["unknown"]).count() == 1 and select.in_namespaces(df, None).count() == 4
-    with pytest.raises(ValueError, match="none"):
-        select.in_namespaces(df, ["none"], check=True)
+    with pytest.raises(ValueError, match="of 4 rows memes: 2, none: 0"):
+        select.in_namespaces(df, ["memes", "none"], check=True)
 
 
 def test_versions_and_chunks(spark):

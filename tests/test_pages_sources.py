@@ -56,12 +56,13 @@ def test_policy(spark, lack, status):
 
 
 def test_structure_ignores_text_and_generated_classes():
-    one, n, depth = dom.structure('<html><body><div class="b a x9 c d"><p>x<p>y</div></body></html>')
+    one, n, depth, cut = dom.structure('<html><body><div class="b a x9 c d"><p>x<p>y</div></body></html>')
     two, *_ = dom.structure('<html><body><div class="b a x7 c d"><p>longer text<p>z</div></body></html>')
-    assert one == two and one["div.a.b.c"] == 1 and one["div.a.b.c>p"] == 2 and n == 5 and depth == 3
-    assert dom.structure("<div>" + "<p>x</p>" * 100 + "</div>", most_nodes=10)[1] == 10
+    assert one == two and one["div.a.b.c"] == 1 and one["div.a.b.c>p"] == 2 and n == 5 and depth == 3 and not cut
+    assert dom.structure("<div>" + "<p>x</p>" * 100 + "</div>", most_nodes=10)[1::2] == (10, True)
     assert "script" not in dom.structure("<div><script><p></script><svg><path/></svg></div>")[0]
-    assert dom.structure("<div>" * 200)[2] == 60
+    assert dom.structure("<div>" * 200)[1:] == (61, 60, True) and dom.structure("<div>" * 200, None, None)[1:] == (200, 199, False)
+    assert dom.structure("<i class='e d c b a'>", most_classes=None)[0] == {"i.a.b.c.d.e": 1}
 
 
 def test_structure_isolates_bad_pages(spark):
@@ -106,39 +107,83 @@ def test_text_readers(spark, tmp_path):
     assert sorted(tuple(r) for r in readers.triples(spark, str(tmp_path / "t.nt")).collect()) == [("s", "p", "o"), ("s", "q", '"lit"@en')]
 
 
-BIG = "<html><body>" + "meme " * 2000
+WHOLE = "<!doctype html>\n<HTML lang=en><p>" + "An owl sleeps by day, and that is all. " * 60
+REPLIES = {
+    "a page at once": (["200 whole"], "ok", 1), "a page after refusals of service": (["503", "429", "200 whole"], "ok", 3), "gone": (["405 Method Not Allowed"], "permanent", 1), "bad request after a timeout": (["timeout", "422"], "permanent", 2),
+    "never": (["500 down", "timeout", "200 short"], "retryable", 3), "not a page": (["200 text", "200 text", "302"], "retryable", 3),
+}
 
 
-@pytest.mark.parametrize(
-    ("replies", "ok", "kind", "attempts"),
-    [([(200, BIG)], True, None, 1), ([(404, "")], False, "permanent", 1), ([(409, ""), (200, BIG)], True, None, 2), ([(423, "")] * 3, False, "retryable", 3), ([(200, "thin"), (200, BIG)], True, None, 2), ([OSError(), (200, BIG)], True, None, 2)],
-)
-def test_fetch_outcomes(replies, ok, kind, attempts):
-    queue = list(replies)
+def answering(replies):
+    """A transport that gives the named replies in turn."""
+    bodies, left = {"whole": WHOLE, "short": "<html>", "text": "x" * 5000}, iter(replies)
 
     def transport(_):
-        r = queue.pop(0)
-        if isinstance(r, Exception):
-            raise r
-        return r
+        first, _, rest = next(left).partition(" ")
+        if first == "timeout":
+            raise TimeoutError("no answer in 30 s")
+        return int(first), bodies.get(rest, rest)
+
+    return transport
+
+
+@pytest.mark.parametrize("name", list(REPLIES))
+def test_fetch_outcomes(name):
+    replies, kind, used = REPLIES[name]
+    waited = []
+    config = readers.FetchConfig(readers.Backoff(attempts=3, first=10, growth=3, most=25, jitter=0.5))
+    got = readers.fetch_one("u", answering(replies), config, sleep=waited.append)
+    assert (got["ok"], got["error_kind"], got["attempts_used"], got["html"]) == (kind == "ok", None if kind == "ok" else kind, used, WHOLE if kind == "ok" else None)
+    assert len(waited) == used - 1 and all(m / 2 <= w <= m for w, m in zip(waited, (10, 25), strict=False))
+    told = {"never": (200, "thin_body: 6 characters"), "gone": (405, "405: Method Not Allowed"), "bad request after a timeout": (422, "422"), "not a page": (302, "302")}
+    assert (got["status_code"], got["error"]) == told.get(name, (200, None))
+
+
+def test_errors_keep_their_detail():
+    got = readers.fetch_one("u", answering(["timeout"]), readers.FetchConfig(readers.Backoff(attempts=1)))
+    assert got["error"] == "transport: TimeoutError: no answer in 30 s" and got["status_code"] is None
+    assert len(readers.fetch_one("u", answering(["404 " + "x" * 5000]))["error"]) < 300
 
-    got = readers.fetch_one("u", transport, readers.FetchConfig(attempts=3), sleep=lambda _: None)
-    assert (got["ok"], got["error_kind"], got["attempts_used"]) == (ok, kind, attempts)
 
+def test_a_refused_key_stops_all():
+    for status in ("401", "403"):
+        with pytest.raises(readers.AuthError):
+            readers.fetch_one("u", answering([status]), sleep=lambda _: None)
+    assert list(readers.DISCOVERY.pauses()) == [4, 16, 64, 256, None]
+    waited = []
+    assert readers.reply("u", answering(["500", "timeout", "200 fine"]), readers.DISCOVERY, waited.append) == "fine" and waited == [4, 16]
+    assert readers.reply("u", answering(["404"]), readers.DISCOVERY, waited.append) is None
 
-def test_fetch_stops_on_a_refused_key():
-    with pytest.raises(readers.AuthError):
-        readers.fetch_one("u", lambda _: (403, ""), sleep=lambda _: None)
+
+def test_crawl_parameters():
+    assert readers.CrawlConfig.from_parameters({"most_pages": "0", "most_empty": "", "delay": None}) == readers.CrawlConfig() and readers.CrawlConfig().most_pages is None
+    assert readers.CrawlConfig.from_parameters({"most_pages": 7, "most_empty": "2", "delay": "0.5", "other": 1}) == readers.CrawlConfig(7, 2, 0.5)
+
+
+def listing_site(pages, base="https://e.example"):
+    """A site of listings: path -> (links of each page)."""
+    out = {}
+    for path, shown in pages.items():
+        for n, links in enumerate(shown, 1):
+            here, following = (f"{path}/page/{k}" if k > 1 else path for k in (n, n + 1))
+            out[base + here] = "".join(f'<a href="{x}">x</a>' for x in links) + (f'<a rel="next" href="{following}">on</a>' if n < len(shown) else "")
+    return out
 
 
 def test_fetch_and_crawl(spark):
-    site = {"https://e.example/memes/all": '<a href="/memes/a">A</a><a href="/memes/known">K</a><a rel="next" href="/memes/all/page/2">n</a>', "https://e.example/memes/all/page/2": '<a href="/memes/b?x=1">B</a><a href="/about">no</a>'}
+    site = listing_site({"/memes/new": [["/memes/a", "/memes/known"], ["/memes/b?x=1", "/about"], [], [], ["/memes/c"]], "/memes/all": [["/memes/a", "/memes/d"]]})
     profile = SiteProfile(base_url="https://e.example", hosts=("e.example",))
-    listings = spark.createDataFrame([("/memes/all", False), ("/memes/gone", True)], "path string, confirmed boolean")
+    listings = spark.createDataFrame([("/memes/new", False, 1), ("/memes/all", True, 2), ("/memes/gone", True, 3)], "path string, confirmed boolean, place int")
     known = spark.createDataFrame([("https://e.example/memes/known",)], "url string")
-    got = readers.crawl_listing(spark, listings, lambda u: (200, site[u]), known, profile)
-    assert sorted(tuple(r) for r in got.collect()) == [("https://e.example/memes/a", "/memes/all", False), ("https://e.example/memes/b", "/memes/all", False)]
-    out = readers.fetch(spark.createDataFrame([("u1",), ("u2",), (None,)], "url string"), lambda u: (200, BIG) if u == "u1" else (404, ""))
+    answer = lambda u: (200, site[u]) if u in site else (404, "")
+
+    def crawled(frame=listings, **bounds):
+        return sorted((r.url[-1], r.listing[-3:], r.confirmed) for r in readers.crawl_listing(spark, frame, answer, known, profile, readers.CrawlConfig(**bounds)).collect())
+
+    assert crawled() == [("a", "new", False), ("b", "new", False), ("c", "new", False), ("d", "all", True)]
+    assert crawled(most_pages=1) == [("a", "new", False), ("d", "all", True)] and crawled(most_empty=1) == [("a", "new", False), ("b", "new", False), ("d", "all", True)]
+    assert crawled(listings.drop("place"))[0] == ("a", "all", True)
+    out = readers.fetch(spark.createDataFrame([("u1",), ("u2",), (None,)], "url string"), lambda u: (200, WHOLE) if u == "u1" else (404, ""))
     assert sorted((r.url, r.ok) for r in out.collect()) == [("u1", True), ("u2", False)]
 
 
