@@ -46,7 +46,8 @@ def svd(weights: DataFrame, key: str, components: int) -> tuple[DataFrame, float
 
     spark = weights.sparkSession
     work = Workspace(spark, "svd")
-    w = work.write(weights.select(key, "token", "weight"), "weights")
+    # Rows that repeat a key and token add up.
+    w = work.write(weights.groupBy(key, "token").agg(F.sum("weight").alias("weight")), "weights")
     ids = work.write(numbered(w.select("token").distinct(), ["token"], "j"), "vocabulary")
     rows = work.write(numbered(w.select(key).distinct(), [key], "i"), "rows")
     n, m = rows.count(), ids.count()

@@ -40,11 +40,22 @@ def shared_folder(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def _nodes(plan) -> list[str]:
+    """The names of the nodes of a logical plan."""
+    found, left = [], [plan]
+    while left:
+        node = left.pop()
+        found.append(node.nodeName())
+        below = node.children()
+        left += [below.apply(i) for i in range(below.size())]
+    return found
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df over all cores if a small input, as one file of one row group, would leave more than half of them idle. Worth a shuffle only ahead of
     work that takes much longer for each row than moving it; larger inputs come in more parts than that and stay as they are."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if any(node in plan for node in ("Join", "Aggregate", "Sort", "Window", "Repartition", "Distinct")):
+    shuffles = {"Join", "Aggregate", "Sort", "Window", "Repartition", "RepartitionByExpression", "RebalancePartitions", "Distinct", "Deduplicate"}
+    if shuffles & set(_nodes(df._jdf.queryExecution().optimizedPlan())):
         return df  # asking such a plan for its parts would run it; its shuffles spread the rows anyway
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if 2 * df.rdd.getNumPartitions() > cores else df.repartition(cores)

@@ -11,7 +11,7 @@ from quillmesh.plans import registry
 SMALL = f"{TESTDATA}/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
 #: Clustering refuses too few records, features refuse a collection without tokens, a namespace filter a name that fits nothing.
-REFUSE_EMPTY = {"template_clusters", "cluster_sweep", "token_tfidf", "structure_tfidf", "top_tokens", "kmeans_embeddings", "namespace_prefix_filter"}
+REFUSE_EMPTY = {"svd_cosines", "model_assign", "kmeans_blobs", "template_clusters", "cluster_sweep", "token_tfidf", "structure_tfidf", "top_tokens", "kmeans_embeddings", "namespace_prefix_filter"}
 
 
 @pytest.fixture(scope="session", params=["empty", "nulls"])

@@ -170,6 +170,15 @@ def listing_site(pages, base="https://e.example"):
     return out
 
 
+def test_entry_rule_for_one_link_is_that_of_columns(spark):
+    from quillmesh.functions.urls import is_entry_url
+
+    site = SiteProfile()
+    urls = ["https://memearchive.example/memes/a", "/memes/a?x=1", "//www.memearchive.example/people/b/", "memes/x", "https://other.example/memes/a", "/memes", "/memes/12", "/memes/all", "/about/a", "", "https://memearchive.example", "mailto:x", "/memes/events/e#f", "/memes//"]
+    got = {r.u: r.e for r in spark.createDataFrame([(u,) for u in urls], "u string").select("u", is_entry_url(F.col("u"), site).alias("e")).collect()}
+    assert got == {u: site.is_entry(u) for u in urls} and sum(got.values()) == 5
+
+
 def test_fetch_and_crawl(spark):
     site = listing_site({"/memes/new": [["/memes/a", "/memes/known"], ["/memes/b?x=1", "/about"], [], [], ["/memes/c"]], "/memes/all": [["/memes/a", "/memes/d"]]})
     profile = SiteProfile(base_url="https://e.example", hosts=("e.example",))
