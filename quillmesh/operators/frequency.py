@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,28 @@ def join_salted(rows: DataFrame, other: DataFrame, key: str, counts: DataFrame,
     return dealt.join(copied, [key, "__part"]).drop("__part")
 
 
+def _two_hashes(key: str) -> list[Column]:
+    """128 bits that stand for a key of any length."""
+    return [F.xxhash64(key).alias("__h1"), F.xxhash64(F.lit(7), F.col(f"`{key}`")).alias("__h2")]
+
+
 def join_frequencies(rows: DataFrame, freq: DataFrame, key: str, name: str = "df") -> DataFrame:
     """rows with the one row of freq that has their key (inner join), for a freq that is a written table and holds the key's number
-    of rows as name."""
-    return join_salted(rows, freq, key, freq, name)
+    of rows as name.
+
+    Where freq holds numbers only beside the key, rows of frequent keys are looked up in a broadcast table - at most 10,000 rows of two hashes
+    in place of the key and these numbers - and aren't shuffled; any other key has less than a 10,000th of the rows. Where it holds values of
+    any size, rows of frequent keys are dealt out as join_salted does.
+    """
+    others = [f for f in freq.schema if f.name != key]
+    if not all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) for f in others):
+        return join_salted(rows, freq, key, freq, name)
+    least = max(2.0, (freq.agg(F.coalesce(F.sum(name), F.lit(0))).first()[0]) * FREQUENT_SHARE)
+    names = [f.name for f in others]
+    hot = F.broadcast(freq.where(F.col(name) >= least).select(*_two_hashes(key), *names))
+    cold = freq.where(F.col(name) < least)
+    hashed = rows.where(F.col(f"`{key}`").isNotNull()).select("*", *_two_hashes(key))
+    columns = [F.col(f"`{c}`") for c in (key, *(c for c in rows.columns if c != key), *names)]
+    told = hashed.join(hot, ["__h1", "__h2"]).select(*columns)
+    rest = hashed.join(hot.select("__h1", "__h2"), ["__h1", "__h2"], "left_anti").drop("__h1", "__h2")
+    return told.unionByName(rest.join(cold, key).select(*columns))
