@@ -36,11 +36,16 @@ def token_sets(features: DataFrame, key: str = "feature_id") -> DataFrame:
     return sets.where("size(tokens) > 0")
 
 
-def classes_of(sets: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(members, classes): members key, set_id; classes set_id, node (smallest key of the class), size, tokens."""
+def classes_of(sets: DataFrame, key: str, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(members, classes): members key, set_id; classes set_id, node, key (smallest key of the class), size, tokens, written. node is that key,
+    but for all but one of the classes that share it, as rows may repeat a key with other tokens: these get a node of their own."""
     members = sets.select(key, F.md5(F.array_join(F.col("tokens"), ",")).alias("set_id"), "tokens")
-    classes = members.groupBy("set_id").agg(F.min(key).alias("node"), F.count(F.lit(1)).alias("size"), F.first("tokens").alias("tokens"))
-    return members.select(key, "set_id"), classes
+    classes = members.groupBy("set_id").agg(F.min(key).alias("key"), F.count(F.lit(1)).alias("size"), F.first("tokens").alias("tokens"))
+    classes = work.write(classes, "sets")
+    shared = classes.groupBy("key").agg(F.min("set_id").alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1").select("key", "__first")
+    own = F.xxhash64("set_id").cast(sets.schema[key].dataType)
+    node = F.when(F.coalesce(F.col("set_id") == F.col("__first"), F.lit(True)), F.col("key")).otherwise(own)
+    return members.select(key, "set_id"), work.write(classes.join(shared, "key", "left").select("set_id", node.alias("node"), "key", "size", "tokens"), "classes")
 
 
 def rarest_first(classes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -60,13 +65,6 @@ def prefix(ranked: DataFrame, threshold: float) -> DataFrame:
     return rows.where("t.df > 1").select("t.token", "node")
 
 
-def prefixes(classes: DataFrame, work: Workspace, threshold: float) -> DataFrame:
-    """prefix of classes (node, tokens), also of tokens that no other node has."""
-    ranked, _ = rarest_first(classes, work)
-    length = F.size("ranked") - F.ceil(F.size("ranked") * F.lit(threshold) - F.lit(1e-9)) + 1
-    return ranked.select("node", F.explode(F.slice(F.col("ranked.token"), F.lit(1), length.cast("int"))).alias("token"))
-
-
 def _jaccard(a: str, b: str) -> Column:
     shared = F.size(F.array_intersect(a, b))
     return shared / (F.size(a) + F.size(b) - shared)
@@ -202,10 +200,10 @@ def markov(edges: DataFrame, work: Workspace, inflation: float = 2.0, prune: flo
 
 def cluster(features: DataFrame, key: str = "feature_id", threshold: float = 0.5, inflation: float = 2.0) -> tuple[DataFrame, DataFrame]:
     """(members, classes): members key, root, size - root is the smallest key of the record's cluster, size the cluster's number of
-    records - and classes node, root, size, weight, flow, tokens, one row for each distinct set, with the flow that a record of its ball
-    attracts.
+    records - and classes node, key, root, size, weight, flow, tokens, one row for each distinct set, with its smallest key and the flow
+    that a record of its ball attracts.
 
-    Records without tokens are left out. Rows that repeat a key count as records of their own. Where similarity isn't transitive, a
+    Records without tokens are left out. Rows that repeat a key count as records of their own, with other tokens as well. Where similarity isn't transitive, a
     record goes where most of its flow does. An empty table gives empty results. threshold has to be at most 1 - 2 * RADIUS, so that the
     members of a ball are linked.
     """
@@ -213,9 +211,8 @@ def cluster(features: DataFrame, key: str = "feature_id", threshold: float = 0.5
         raise ValueError(f"the threshold may be {1 - 2 * RADIUS} at most")
     spark = features.sparkSession
     work = Workspace(spark, "clusters")
-    sets, classes = classes_of(token_sets(features, key), key)
-    classes = work.write(classes, "classes")
-    nodes = classes.select("node", "size", "tokens")
+    sets, classes = classes_of(token_sets(features, key), key, work)
+    nodes = classes.select("node", "key", "size", "tokens")
     ranked, df = rarest_first(nodes, work)
     placed = balls(nodes, ranked, df, work)
     graph = links(nodes, ranked, df, placed, work, threshold)
@@ -223,8 +220,8 @@ def cluster(features: DataFrame, key: str = "feature_id", threshold: float = 0.5
     in_ball = work.write(frequencies(placed, "ball", "n").join(found, "ball"), "in_ball")
     rooted = join_frequencies(placed.select("node", "ball"), in_ball, "ball", "n").select("node", "cluster", "flow").join(nodes, "node")
     rooted = work.write(rooted, "rooted")
-    sizes = rooted.groupBy("cluster").agg(F.min("node").alias("root"), F.sum("size").alias("weight"), F.count(F.lit(1)).alias("n"))
-    rooted = join_frequencies(rooted, work.write(sizes, "sizes"), "cluster", "n").select("node", "root", "size", "weight", "flow", "tokens")
+    sizes = rooted.groupBy("cluster").agg(F.min("key").alias("root"), F.sum("size").alias("weight"), F.count(F.lit(1)).alias("n"))
+    rooted = join_frequencies(rooted, work.write(sizes, "sizes"), "cluster", "n").select("node", "key", "root", "size", "weight", "flow", "tokens")
     rooted = work.write(rooted, "final")
     by_set = classes.select("set_id", "node", F.col("size").alias("n")).join(rooted.select("node", "root", "weight"), "node")
     members = join_frequencies(sets, work.write(by_set, "by_set"), "set_id", "n").select(key, "root", F.col("weight").alias("size"))
@@ -236,11 +233,11 @@ def typical(classes: DataFrame, work: Workspace, k: int = 3) -> DataFrame:
     whose members it doesn't tell apart, the member comes first to which one more step brings most flow: a step from the cluster's
     records over their tokens, which is the sum of its tokens' shares among the records over the root of their number. Of members with
     equal sets the smallest key stands for all."""
-    rows = classes.select("node", "root", "size", "weight", "flow", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("token"))
+    rows = classes.select("node", "key", "root", "size", "weight", "flow", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("token"))
     rows = rows.withColumn("place", F.xxhash64("root", "token"))
     shares = rows.groupBy("place").agg((F.sum("size") / F.first("weight")).alias("share"), F.count(F.lit(1)).alias("n"))
-    steps = join_frequencies(rows, work.write(shares, "shares"), "place", "n").groupBy("root", "node").agg((F.sum("share") / F.sqrt(F.first("n_tokens"))).alias("step"), F.first("weight").alias("weight"), F.first("flow").alias("flow"))
-    order = Window.partitionBy("root").orderBy(F.round("flow", 4).desc(), F.round("step", 9).desc(), "node")
+    steps = join_frequencies(rows, work.write(shares, "shares"), "place", "n").groupBy("root", "node").agg((F.sum("share") / F.sqrt(F.first("n_tokens"))).alias("step"), F.first("weight").alias("weight"), F.first("flow").alias("flow"), F.first("key").alias("key"))
+    order = Window.partitionBy("root").orderBy(F.round("flow", 4).desc(), F.round("step", 9).desc(), "key", "node")
     best = steps.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
-    best = best.groupBy("root").agg(F.first("weight").alias("size"), F.array_sort(F.collect_list(F.struct("r", "node"))).alias("t"))
-    return best.select(F.col("root").alias("root_id"), "size", F.col("t.node").alias("typical"))
+    best = best.groupBy("root").agg(F.first("weight").alias("size"), F.array_sort(F.collect_list(F.struct("r", "key"))).alias("t"))
+    return best.select(F.col("root").alias("root_id"), "size", F.col("t.key").alias("typical"))

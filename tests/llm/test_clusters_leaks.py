@@ -54,6 +54,13 @@ def test_groups_that_share_a_bucket(spark):
     assert {r.feature_id: r.root for r in members.collect()} == components(sets)
 
 
+def test_rows_that_repeat_a_key(spark):
+    rows = [(1, {"a": 1, "b": 1}), (1, {"a": 1, "b": 1}), (1, {"x": 1, "y": 1}), (2, {"x": 1, "y": 1, "z": 1}), (3, {"a": 2})]
+    members, classes = clusters.cluster(spark.createDataFrame(rows, "feature_id bigint, tokens map<string,int>"))
+    assert sorted((r.feature_id, r.root, r["size"]) for r in members.collect()) == [(1, 1, 2), (1, 1, 3), (1, 1, 3), (2, 1, 2), (3, 1, 3)]
+    assert {tuple(r.typical) for r in clusters.typical(classes, Workspace(spark, "t")).collect()} <= {(1, 3), (1, 2), (2, 1), (3, 1)}
+
+
 def test_empty_features(spark):
     members, classes = clusters.cluster(features(spark, {1: {}, 2: None}))
     assert members.count() == 0 and clusters.typical(classes, Workspace(spark, "t")).count() == 0
@@ -109,8 +116,8 @@ def test_graph_holds_every_link(spark, seed):
     sets = {i: set(rng.sample(sorted({f"c{k}" for k in range(c, c + 26)}), 22 + rng.randrange(4))) for i in range(90) for c in [rng.choice((0, 5, 9, 14, 40))]}
     work = Workspace(spark, "g")
     df = features(spark, {i: dict.fromkeys(s, 1) for i, s in sets.items()})
-    _, classes = clusters.classes_of(clusters.token_sets(df), "feature_id")
-    nodes = work.write(classes.select("node", "size", "tokens"), "nodes")
+    _, classes = clusters.classes_of(clusters.token_sets(df), "feature_id", work)
+    nodes = classes.select("node", "size", "tokens")
     ranked, freq = clusters.rarest_first(nodes, work)
     placed = clusters.balls(nodes, ranked, freq, work)
     ball = {r.node: (r.ball, r.near) for r in placed.collect()}
