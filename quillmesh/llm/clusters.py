@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmesh.operators.frequency import frequencies, join_frequencies, join_salted
+from quillmesh.operators.frequency import frequencies, join_salted
 from quillmesh.session import Workspace
 
 #: Distance to its center within which a class belongs to a ball; members of a ball have a distance of twice that at most.
@@ -53,7 +53,7 @@ def rarest_first(classes: DataFrame, work: Workspace) -> tuple[DataFrame, DataFr
     rows = classes.select("node", F.explode("tokens").alias("token"))
     freq = work.write(frequencies(rows, "token"), "df")
     # A class's tokens are those of one record, so the list is bounded by a record.
-    ranked = join_frequencies(rows, freq, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    ranked = join_salted(rows, freq, "token", freq, "df").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("ranked"))
     return work.write(ranked, "ranked"), freq
 
 
@@ -131,7 +131,8 @@ def links(nodes: DataFrame, ranked: DataFrame, df: DataFrame, placed: DataFrame,
     keys = work.write(sized.select("node", "ball").join(prefix(ranked, threshold), "node"), "keys")
     there = keys.select("token", F.col("ball").alias("other")).distinct()
     tried = work.write(join_salted(keys, there, "token", df, "df").where("ball <> other").select("node", "ball", "other").distinct(), "tried")
-    near = join_frequencies(tried, work.write(frequencies(tried, "other", "n").join(nodes.select(F.col("node").alias("other"), F.col("tokens").alias("__b")), "other"), "others"), "other", "n").drop("n")
+    others = work.write(frequencies(tried, "other", "n").join(nodes.select(F.col("node").alias("other"), F.col("tokens").alias("__b")), "other"), "others")
+    near = join_salted(tried, others, "other", others, "n").drop("n")
     near = near.join(nodes.select("node", "size", F.col("tokens").alias("__a")), "node").withColumn("similarity", _jaccard("__a", "__b")).drop("__a", "__b")
     near = near.join(sized.select("node", F.col("near").alias("own")), "node")
     near = near.join(ball.select(F.col("ball").alias("other"), F.col("radius").alias("reach")), "other")
@@ -218,13 +219,15 @@ def cluster(features: DataFrame, key: str = "feature_id", threshold: float = 0.5
     graph = links(nodes, ranked, df, placed, work, threshold)
     found = work.write(markov(graph, work, inflation).withColumnRenamed("node", "ball"), "found")
     in_ball = work.write(frequencies(placed, "ball", "n").join(found, "ball"), "in_ball")
-    rooted = join_frequencies(placed.select("node", "ball"), in_ball, "ball", "n").select("node", "cluster", "flow").join(nodes, "node")
+    rooted = join_salted(placed.select("node", "ball"), in_ball, "ball", in_ball, "n").select("node", "cluster", "flow").join(nodes, "node")
     rooted = work.write(rooted, "rooted")
     sizes = rooted.groupBy("cluster").agg(F.min("key").alias("root"), F.sum("size").alias("weight"), F.count(F.lit(1)).alias("n"))
-    rooted = join_frequencies(rooted, work.write(sizes, "sizes"), "cluster", "n").select("node", "key", "root", "size", "weight", "flow", "tokens")
+    sizes = work.write(sizes, "sizes")
+    rooted = join_salted(rooted, sizes, "cluster", sizes, "n").select("node", "key", "root", "size", "weight", "flow", "tokens")
     rooted = work.write(rooted, "final")
     by_set = classes.select("set_id", "node", F.col("size").alias("n")).join(rooted.select("node", "root", "weight"), "node")
-    members = join_frequencies(sets, work.write(by_set, "by_set"), "set_id", "n").select(key, "root", F.col("weight").alias("size"))
+    by_set = work.write(by_set, "by_set")
+    members = join_salted(sets, by_set, "set_id", by_set, "n").select(key, "root", F.col("weight").alias("size"))
     return members, rooted
 
 
@@ -236,7 +239,8 @@ def typical(classes: DataFrame, work: Workspace, k: int = 3) -> DataFrame:
     rows = classes.select("node", "key", "root", "size", "weight", "flow", F.size("tokens").alias("n_tokens"), F.explode("tokens").alias("token"))
     rows = rows.withColumn("place", F.xxhash64("root", "token"))
     shares = rows.groupBy("place").agg((F.sum("size") / F.first("weight")).alias("share"), F.count(F.lit(1)).alias("n"))
-    steps = join_frequencies(rows, work.write(shares, "shares"), "place", "n").groupBy("root", "node").agg((F.sum("share") / F.sqrt(F.first("n_tokens"))).alias("step"), F.first("weight").alias("weight"), F.first("flow").alias("flow"), F.first("key").alias("key"))
+    shares = work.write(shares, "shares")
+    steps = join_salted(rows, shares, "place", shares, "n").groupBy("root", "node").agg((F.sum("share") / F.sqrt(F.first("n_tokens"))).alias("step"), F.first("weight").alias("weight"), F.first("flow").alias("flow"), F.first("key").alias("key"))
     order = Window.partitionBy("root").orderBy(F.round("flow", 4).desc(), F.round("step", 9).desc(), "key", "node")
     best = steps.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k)
     best = best.groupBy("root").agg(F.first("weight").alias("size"), F.array_sort(F.collect_list(F.struct("r", "key"))).alias("t"))
