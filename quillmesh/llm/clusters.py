@@ -204,7 +204,8 @@ def cluster(features: DataFrame, key: str = "feature_id", threshold: float = 0.5
     records - and classes node, key, root, size, weight, flow, tokens, one row for each distinct set, with its smallest key and the flow
     that a record of its ball attracts.
 
-    Records without tokens are left out. Rows that repeat a key count as records of their own, with other tokens as well. Where similarity isn't transitive, a
+    Records without tokens are left out. Rows that repeat a key count as records of their own, with other tokens as well;
+    clusters whose smallest key is the same by such rows share their root. Where similarity isn't transitive, a
     record goes where most of its flow does. An empty table gives empty results. threshold has to be at most 1 - 2 * RADIUS, so that the
     members of a ball are linked.
     """
