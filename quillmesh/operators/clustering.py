@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillmesh.operators import features
+from quillmesh.operators import features, neighbours
 from quillmesh.operators.frequency import join_salted
 from quillmesh.operators.select import numbered
 from quillmesh.session import Workspace
 
 NOISE = -1
+#: Nearest points of each point that are kept while its spanning tree grows.
+LISTED = 16
 
 
 def unit(v: Column) -> Column:
@@ -115,187 +120,184 @@ def kmeans(points: DataFrame, key: str, k: int, seeds: int = 10, seed: int = 42)
         data.unpersist()
 
 
-def _blocks(points: DataFrame, key: str, rows: int) -> tuple[DataFrame, int]:
-    """(block, keys, vectors), number of blocks: so many points in each block on average, so that a block is a matrix of known size."""
-    n = max(1, -(-points.count() // rows))
-    b = points.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("block"), key, "vector")
-    return b.groupBy("block").agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col("vector").alias("v"))).alias("p")), n
-
-
-def _pairs(blocks: DataFrame, n: int) -> DataFrame:
-    """Each block with every block: the points as stated queries against all points, block by block."""
-    left = blocks.select("block", F.col("p").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("other"))
-    return left.join(blocks.select(F.col("block").alias("other"), "p"), "other")
-
-
-def hdbscan(points: DataFrame, key: str, min_cluster_size: int = 100, min_samples: int = 10, most_points: int = 200_000, block_rows: int = 2048) -> DataFrame:
+def hdbscan(points: DataFrame, key: str, min_cluster_size: int = 100, min_samples: int = 10, most_points: int = 5_000_000, block_rows: int = 2048) -> DataFrame:
     """key, label, probability: density clusters; NOISE with probability 0 for points of none.
 
-    Core distances - to the min_samples-th nearest point, itself counted - and the spanning tree of mutual reachability are computed over all
-    pairs of blocks, in Boruvka rounds: each point looks for its nearest point of another component. That is exact and quadratic, so more
-    than most_points points are an error. The tree, one row for each point, is condensed on the driver; clusters are taken by excess of
-    mass, never a single one. Points with equal keys count once, null vectors are left out.
+    Core distances - to the min_samples-th nearest point, itself counted - and the spanning tree of mutual reachability are exact. The points,
+    a matrix of 8 bytes for each coordinate, are put in the order of a k-d tree on the driver and broadcast; tasks of block_rows points at least
+    search the leaves that can hold a nearer point (neighbours.py). The tree comes from Boruvka rounds: each component takes its shortest edge
+    to another. In many dimensions boxes rule out little and the search is quadratic. The tree, one row for each point, is condensed
+    on the driver, so more than most_points points are an error; clusters are taken by excess of mass, never a single one. Points with
+    equal keys count once, null vectors are left out; vectors of unequal length or with coordinates that aren't finite are an error.
     """
-    work = Workspace(points.sparkSession, "hdbscan")
+    spark = points.sparkSession
+    work = Workspace(spark, "hdbscan")
     clean = work.write(points.where(f"vector is not null and `{key}` is not null").select(key, F.col("vector").cast("array<double>").alias("vector")).dropDuplicates([key]), "points")
     total = clean.count()
     if total > most_points:
-        raise ValueError(f"{total} points; exact density clustering takes {most_points} at most")
+        raise ValueError(f"{total} points; density clustering takes {most_points} at most")
     key_type = clean.schema[key].dataType.simpleString()
     if total == 0:
         return clean.select(key, F.lit(NOISE).alias("label"), F.lit(0.0).alias("probability"))
-    blocks, n = _blocks(clean, key, block_rows)
-    pairs = work.write(_pairs(work.write(blocks, "blocks"), n), "pairs")
+    rows = clean.orderBy(key).toArrow()  # most_points rows at most
+    keys = rows[key]
+    tree = neighbours.Tree(_matrix(rows["vector"]))
+    del rows
+    parts = max(1, min(-(-total // block_rows), 4 * spark.sparkContext.defaultParallelism, tree.leaves))
     k = min(min_samples, total)
+    placed = spark.sparkContext.broadcast(tree)
 
     def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tree = placed.value
         for b in batches:
-            for q, p in zip(b["q"], b["p"], strict=True):
-                d = _distances(np.array([x["v"] for x in q]), np.array([x["v"] for x in p]))
-                part = np.sort(np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, :k], axis=1)
-                yield pd.DataFrame({"k": [x["k"] for x in q], "d": list(part)})
-
-    near = pairs.mapInPandas(nearest, f"k {key_type}, d array<double>")
-    core = work.write(near.groupBy("k").agg(F.element_at(F.array_sort(F.flatten(F.collect_list("d"))), k).alias("core")), "core")
-
-    component = {r["k"]: i for i, r in enumerate(core.select("k").orderBy("k").collect())}  # most_points rows at most
-    cores = {r["k"]: r["core"] for r in core.collect()}
-    keys = list(component)
-    at = {x: i for i, x in enumerate(keys)}
-    core_of = np.array([cores[x] for x in keys])
-    label = np.arange(len(keys))
-    tree: list[tuple[float, int, int]] = []
-    spark = points.sparkSession
-    while len(np.unique(label)) > 1:
-        shared = spark.sparkContext.broadcast((at, core_of, label))
-
-        def reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            at, core_of, label = shared.value
-            for b in batches:
-                for q, p in zip(b["q"], b["p"], strict=True):
-                    qi, pi = np.array([at[x["k"]] for x in q]), np.array([at[x["k"]] for x in p])
-                    d = np.maximum(np.maximum(_distances(np.array([x["v"] for x in q]), np.array([x["v"] for x in p])), core_of[qi][:, None]), core_of[pi][None, :])
-                    d[label[qi][:, None] == label[pi][None, :]] = np.inf
-                    j = d.argmin(axis=1)
-                    best = d[np.arange(len(q)), j]
-                    ok = np.isfinite(best)
-                    yield pd.DataFrame({"c": label[qi][ok], "a": qi[ok], "b": pi[j][ok], "d": best[ok]})
-
-        edges = pairs.mapInPandas(reach, "c bigint, a bigint, b bigint, d double")
-        edges = edges.select("c", F.struct("d", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).alias("e")).groupBy("c").agg(F.min("e").alias("e")).collect()
-        root = {int(c): int(c) for c in np.unique(label)}
-
-        def find(c: int) -> int:
-            while root[c] != c:
-                root[c] = root[root[c]]
-                c = root[c]
-            return c
-
-        for r in sorted(edges, key=lambda r: tuple(r["e"])):
-            d, x, y = r["e"]
-            a, b = find(int(label[x])), find(int(label[y]))
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                tree.append((d, x, y))
-        label = np.array([find(int(c)) for c in label])
-        shared.unpersist()
-    labels, probability = condense(sorted(tree), len(keys), min_cluster_size)
-    out = pd.DataFrame({key: keys, "label": labels, "probability": probability})
-    return spark.createDataFrame(out, f"{key} {key_type}, label int, probability double")
+            for part in b["id"]:
+                found = [tree.nearest(leaf, k) for leaf in range(part, tree.leaves, parts)]
+                near, core = np.vstack([p[:, :LISTED] for p, _ in found]), np.concatenate([d[:, -1] for _, d in found])
+                yield pd.DataFrame({"part": [part], "near": [near.astype(np.int32).tobytes()], "core": [core.tobytes()]})
+
+    near, core = np.empty((total, min(k, LISTED)), dtype=np.int32), np.empty(total)
+    for r in spark.range(0, parts, 1, parts).mapInPandas(nearest, "part bigint, near binary, core binary").toArrow().to_pylist():
+        own = np.concatenate([np.arange(tree.starts[leaf], tree.starts[leaf + 1]) for leaf in range(r["part"], tree.leaves, parts)])
+        near[own], core[own] = np.frombuffer(r["near"], dtype=np.int32).reshape(len(own), -1), np.frombuffer(r["core"])
+    d, a, b = _spanning_tree(spark, tree, placed, near, core, parts)
+    placed.unpersist()
+    x, y = np.minimum(tree.order[a], tree.order[b]), np.maximum(tree.order[a], tree.order[b])
+    del tree, near, core, a, b
+    by = np.lexsort((y, x, d))
+    labels, probability = condense(d[by], x[by], y[by], total, min_cluster_size)
+    out = pa.table({key: keys, "label": pa.array(labels, pa.int32()), "probability": pa.array(probability, pa.float64())})
+    return work.write(spark.createDataFrame(out, f"`{key}` {key_type}, label int, probability double"), "labels")
+
+
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """The vectors as rows; of no coordinates, as one of 0."""
+    lengths = vectors.combine_chunks().value_lengths().unique().to_pylist()
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of {min(lengths)} and of {max(lengths)} coordinates")
+    if lengths == [0]:
+        return np.zeros((len(vectors), 1))
+    rows = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in vectors.chunks]).reshape(len(vectors), -1)
+    if not np.isfinite(rows).all():
+        raise ValueError("vectors with coordinates that aren't finite")
+    return rows
+
+
+def _spanning_tree(spark: SparkSession, tree: neighbours.Tree, placed: Broadcast, near: np.ndarray, core: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """d, a, b of the edges of a minimum spanning tree by mutual reachability, between places of the k-d tree. near: the places of some of each
+    point's nearest; the shortest of these edges that leaves a component bounds what is looked for. A point whose core distance is
+    no less than the bound can't have a shorter one."""
+    links = np.empty(near.shape)
+    for at in range(0, len(near), 16384):
+        own = slice(at, at + 16384)
+        apart = np.sqrt(((tree.points[near[own]] - tree.points[own][:, None]) ** 2).sum(axis=2))
+        links[own] = np.maximum(np.maximum(apart, core[own][:, None]), core[near[own]])
+    cores = spark.sparkContext.broadcast(core)
+    component, count = np.arange(len(core)), len(core)
+    open_rows = np.arange(len(core))  # those with a listed neighbour in another component
+    edges: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    while count > 1:
+        d = np.where(component[near[open_rows]] != component[open_rows][:, None], links[open_rows], np.inf)
+        j = d.argmin(axis=1)
+        d = d[np.arange(len(j)), j]
+        some = np.isfinite(d)
+        open_rows, j, d = open_rows[some], j[some], d[some]
+        best, length = neighbours.shortest(component[open_rows], np.arange(len(j)), d, count)
+        a = np.where(best >= 0, open_rows[best] if len(j) else -1, -1)
+        b = np.where(best >= 0, near[open_rows[best], j[best]] if len(j) else -1, -1)
+        if (core < length[component]).any():
+            state = spark.sparkContext.broadcast((component.astype(np.int32), length))
+
+            def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+                tree, core, (component, length) = placed.value, cores.value, state.value
+                for batch in batches:
+                    for part in batch["id"]:
+                        yield pd.DataFrame(dict(zip("cabd", tree.outgoing(range(part, tree.leaves, parts), core, component, length), strict=True)))
+
+            found = spark.range(0, parts, 1, parts).mapInPandas(search, "c bigint, a bigint, b bigint, d double").toArrow()
+            state.unpersist()
+            c, fa, fb, fd = (found[x].to_numpy() for x in "cabd")
+            best, shorter = neighbours.shortest(c, np.arange(len(c)), fd, count)
+            nearer = np.flatnonzero(best >= 0)
+            a[nearer], b[nearer], length[nearer] = fa[best[nearer]], fb[best[nearer]], shorter[nearer]
+        own = np.flatnonzero(a >= 0)
+        by = own[np.lexsort((np.maximum(tree.order[a[own]], tree.order[b[own]]), np.minimum(tree.order[a[own]], tree.order[b[own]]), length[own]))]
+        component, taken = neighbours.joined(component, a[by], b[by], count)
+        edges.append((length[by][taken], a[by][taken], b[by][taken]))
+        count -= len(edges[-1][0])
+    cores.unpersist()
+    none = (np.empty(0), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+    return tuple(np.concatenate(x) for x in zip(none, *edges, strict=True))
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1)[None, :] - 2 * a @ b.T, 0.0))
 
 
-def condense(tree: list[tuple[float, int, int]], n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+def condense(d: np.ndarray, x: np.ndarray, y: np.ndarray, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Labels and probabilities from the edges of a spanning tree in the order of their length: merges of fewer than `least` points on one side
     are points falling out of a cluster; a cluster is kept if its own excess of mass is at least that of the clusters within it."""
-    parent = list(range(2 * n - 1))
-    left, right, height, size = [-1] * (2 * n - 1), [-1] * (2 * n - 1), [0.0] * (2 * n - 1), [1] * n + [0] * (n - 1)
-
-    def top(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for new, (d, x, y) in enumerate(tree, n):
-        a, b = top(x), top(y)
-        left[new], right[new], height[new], size[new] = a, b, d, size[a] + size[b]
+    parent = array("q", range(2 * n - 1))
+    left, right, size = (array("q", bytes(8 * (2 * n - 1))) for _ in range(3))
+    for i in range(n):
+        size[i] = 1
+    for new, (a, b) in enumerate(zip(x.tolist(), y.tolist(), strict=True), n):
+        while parent[a] != a:
+            parent[a] = a = parent[parent[a]]
+        while parent[b] != b:
+            parent[b] = b = parent[parent[b]]
+        left[new], right[new], size[new] = a, b, size[a] + size[b]
         parent[a] = parent[b] = new
-    rate = lambda d: 1 / d if d > 0 else np.inf
-    born, falls, below, of = {0: 0.0}, {0: []}, {0: []}, {}
+    rate = array("d", np.divide(1.0, d, out=np.full(len(d), np.inf), where=d > 0).tobytes())
+    # The cluster from which each node falls and the rate at which it does; -1 where it doesn't fall as a whole.
+    home, fall = array("q", bytes(8 * (2 * n - 1))), array("d", [-1.0]) * (2 * n - 1)
+    born, of = [0.0], [-1]
     stack = [(2 * n - 2, 0)]
-    count = 0
-
-    def leaves(x: int) -> list[int]:
-        out, todo = [], [x]
-        while todo:
-            v = todo.pop()
-            if v < n:
-                out.append(v)
-            else:
-                todo += [left[v], right[v]]
-        return out
-
     while stack:
         node, c = stack.pop()
         if node < n:
-            falls[c].append((node, np.inf))
+            home[node], fall[node] = c, np.inf
             continue
-        a, b, lam = left[node], right[node], rate(height[node])
-        big = [s for s in (a, b) if size[s] >= least]
-        if len(big) == 2:
-            for s in (a, b):
-                count += 1
-                born[count], falls[count], below[count] = lam, [], []
-                below[c].append(count)
-                of[count] = c
-                stack.append((s, count))
+        lam, sides = rate[node - n], (left[node], right[node])
+        if size[sides[0]] >= least and size[sides[1]] >= least:
+            for s in sides:
+                stack.append((s, len(born)))
+                born.append(lam)
+                of.append(c)
         else:
-            for s in (a, b):
-                if s in big:
+            for s in sides:
+                if size[s] >= least:
                     stack.append((s, c))
                 else:
-                    falls[c] += [(p, lam) for p in leaves(s)]
-    members: dict[int, int] = {}
-    for c in sorted(born, reverse=True):
-        members[c] = len(falls[c]) + sum(members[s] for s in below[c])
-    ends = {s: born[s] for s in born}
-    finite = [x for f in falls.values() for _, x in f if np.isfinite(x)] + [born[c] for c in born]
-    cap = max(finite, default=1.0) or 1.0
-    stable = {c: sum(min(x, cap) - born[c] for _, x in falls[c]) + sum((ends[s] - born[c]) * members[s] for s in below[c]) for c in born}
-    chosen: set[int] = set()
-    for c in sorted(born, reverse=True):
-        if c == 0:
-            continue
-        inner = sum(stable[s] for s in below[c])
-        if below[c] and inner > stable[c]:
-            stable[c] = inner
-        else:
-            chosen.add(c)
-            todo = list(below[c])
-            while todo:
-                s = todo.pop()
-                chosen.discard(s)
-                todo += below[s]
-    names = {c: i for i, c in enumerate(sorted(chosen))}
-    labels, probability = np.full(n, NOISE), np.zeros(n)
-    for c in born:
-        home = c
-        while home not in chosen and home in of:
-            home = of[home]
-        if home not in chosen:
-            continue
-        for p, x in falls[c]:
-            labels[p] = names[home]
-            probability[p] = min(x, cap)
-    for i in names.values():
-        own = labels == i
-        most = probability[own].max() if own.any() else 0.0
-        probability[own] = np.round(probability[own] / most, 4) if most > 0 else 1.0
-    return labels, probability
+                    home[s], fall[s] = c, lam
+    for node in range(2 * n - 2, n - 1, -1):
+        if (lam := fall[node]) >= 0:
+            a, b = left[node], right[node]
+            home[a] = home[b] = home[node]
+            fall[a] = fall[b] = lam
+    own, rates = np.array(home[:n]), np.array(fall[:n])
+    birth, up = np.array(born), np.array(of)
+    finite = np.concatenate([rates, birth])
+    cap = max(finite[np.isfinite(finite)].max(), 0.0) or 1.0
+    rates, birth = np.minimum(rates, cap), np.minimum(birth, cap)
+    members = np.bincount(own, minlength=len(up))
+    for c in range(len(up) - 1, 0, -1):  # those within a cluster have greater numbers
+        members[up[c]] += members[c]
+    stable = np.bincount(own, weights=rates - birth[own], minlength=len(up)) + np.bincount(up[1:], weights=(birth[1:] - birth[up[1:]]) * members[1:], minlength=len(up))
+    inner, kept = np.zeros(len(up)), np.zeros(len(up), dtype=bool)
+    for c in range(len(up) - 1, 0, -1):
+        kept[c] = inner[c] <= stable[c]
+        inner[up[c]] += max(stable[c], inner[c])
+    chosen = np.full(len(up), -1)
+    for c in range(1, len(up)):
+        chosen[c] = chosen[up[c]] if chosen[up[c]] >= 0 else c if kept[c] else -1
+    number = np.cumsum(chosen == np.arange(len(up))) - 1
+    cluster = chosen[own]
+    labels = np.where(cluster >= 0, number[cluster], NOISE)
+    most = np.zeros(max(len(up), 1))
+    np.maximum.at(most, cluster[cluster >= 0], rates[cluster >= 0])
+    top = most[cluster]
+    probability = np.where(top > 0, np.round(rates / np.where(top > 0, top, 1.0), 4), 1.0)
+    return labels, np.where(cluster >= 0, probability, 0.0)
 
 
 def centroids(points: DataFrame) -> DataFrame:
